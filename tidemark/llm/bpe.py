@@ -22,6 +22,7 @@ from ._chunks import Kept, stretches
 
 #: Entries of the store of encoded stretches in a Python worker (about 100 MB), and of pairs and pre-tokens.
 KEPT = 400_000
+NEVER = 1 << 60
 #: The pre-token pattern of the byte-level vocabulary, with white space as Unicode has it (fixed value).
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -114,6 +115,7 @@ class Encoder:
             a, b = raw(a), raw(b)
             self.rank[ids[a], ids[b]] = (rank, ids[a + b])
             self.parts.setdefault(ids[a + b], (ids[a], ids[b]))
+        self.made = [self.rank[self.parts[i]][0] if i in self.parts else -1 for i in range(len(self.spelling))]
         self.single = [ids[bytes([b])] for b in range(256)]
         # A token that its own bytes don't lead to ends no prefix.
         reached = {s: i for s, i in ids.items() if len(s) == 1 or (i in self.parts and self.merged(s) == [i])}
@@ -124,35 +126,52 @@ class Encoder:
         self.pattern = regex.compile(PATTERN)
 
     def merged(self, s: bytes) -> list[int]:
-        """Plain merging, lowest rank first: what defines the encoding; used to test pairs and tokens only."""
+        """Plain merging, lowest rank first: what defines the encoding; used to test tokens only."""
         out = [self.single[b] for b in s]
         while len(out) > 1:
-            ranks = [self.rank.get(pair, (1 << 60, 0)) for pair in zip(out, out[1:], strict=False)]
+            ranks = [self.rank.get(pair, (NEVER, 0)) for pair in zip(out, out[1:], strict=False)]
             k = min(range(len(ranks)), key=ranks.__getitem__)
-            if ranks[k][0] == 1 << 60:
+            if ranks[k][0] == NEVER:
                 break
             out[k : k + 2] = [ranks[k][1]]
         return out
 
     def compatible(self, pair: int) -> bool:
-        """Whether the bytes of two tokens, one after the other, encode as just these two."""
-        a, b = pair >> 32, pair & 0xFFFFFFFF
-        return self.merged(self.spelling[a] + self.spelling[b]) == [a, b]
+        """Whether the bytes of two tokens, one after the other, encode as just these two.
+
+        Only the last part of the left token and the first part of the right one ever touch. Going back in time from both
+        tokens whole, no two parts that touch may have a merge that comes before each is used up; of equal ranks the merge
+        further left comes first."""
+        x, y = pair >> 32, pair & 0xFFFFFFFF
+        x_ends = y_ends = NEVER
+        while True:
+            found = self.rank.get((x, y))
+            if found and found[0] < x_ends and found[0] <= y_ends:
+                return False
+            x_made, y_made = self.made[x], self.made[y]
+            if x_made > y_made:
+                x, x_ends = self.parts[x][1], x_made
+            elif y_made >= 0:
+                y, y_ends = self.parts[y][0], y_made
+            else:
+                return True
 
     def encode_word(self, word: str) -> tuple[int, ...]:
         s = word.encode()
         step, length, link, ends, fits = self.automaton.step, self.automaton.length, self.automaton.link, self.automaton.ends, self.fits
-        last: list[int] = [-1] * (len(s) + 1)
-        state = matched = 0
-        for i, byte in enumerate(s, 1):
+        last = [0]
+        state = matched = i = 0
+        for byte in s:
+            i += 1
             while (to := step.get(state << 8 | byte)) is None:
                 state = link[state]
                 matched = length[state]
-            state, matched = to, matched + 1
+            state = to
+            matched += 1
             for size, token in ends[state]:
-                if size <= matched and (size == i or last[i - size] >= 0 and fits[last[i - size] << 32 | token]):
-                    last[i] = token
+                if size == i or size <= matched and fits[last[-size] << 32 | token]:
                     break
+            last.append(token)
         out, i = [], len(s)
         while i:
             out.append(last[i])
