@@ -169,7 +169,7 @@ class Encoder:
             state = to
             matched += 1
             for size, token in ends[state]:
-                if size == i or size <= matched and fits[last[-size] << 32 | token]:
+                if size <= matched and (size == i or fits[last[-size] << 32 | token]):
                     break
             last.append(token)
         out, i = [], len(s)
