@@ -14,6 +14,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +30,30 @@ from ._store import new_folder
 #: Documents sampled for the dictionary, ids of each that count, and the dictionary's size: fixed bounds at every input size.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 16_384, 65_536
 #: Bytes of frames after which a block closes, and stretches kept encoded in a worker.
-BLOCK_BYTES, KEPT = 1 << 20, 400_000
+BLOCK_BYTES, KEPT = 1 << 20, 1_200_000
+#: Texts encoded together.
+TOGETHER = 128
+#: Stretches joined for the library, and how the vocabulary spells a leading space.
+JOINED, SPACE = 64, chr(0x120)
+NOTHING = np.zeros(0, dtype="<u4")
 MAGIC, HEAD = b"TMID", struct.Struct("<4sHB32sI")
 
 
+class Slots(dict):
+    """A number for each stretch, given out as stretches are asked for; fresh has those of which no ids are known yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, stretch: str) -> int:
+        n = self[stretch] = len(self)
+        self.fresh.append(stretch)
+        return n
+
+
 class LibraryEncoder:
-    """A tokenizers file, with the stretches met so far kept as little-endian 32-bit ids."""
+    """A tokenizers file. Each stretch goes to the library once; the ids of those met lately are kept in one array."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,25 +64,81 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.kept: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.spaced[[i for x, i in vocabulary.items() if x.startswith(SPACE)]] = True
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if self.added and self.added.search(text):
-            return self.whole(text)
-        first, *rest = stretches(text)
-        found = list(map(self.kept.get, rest))
-        if None in found:
-            new = list({x for x, ids in zip(rest, found, strict=True) if ids is None})
-            if len(self.kept) + len(new) > KEPT:
-                self.kept = {x: ids for x, ids in zip(rest, found, strict=True) if ids is not None}
-            for x, e in zip(new, self.tokenizer.encode_batch_fast([" " + x for x in new], add_special_tokens=False), strict=True):
-                self.kept[x] = np.array(e.ids, dtype="<u4").tobytes()
-            found = map(self.kept.__getitem__, rest)
-        return (self.whole(first) if first else b"") + b"".join(found)
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots = Slots()
+        self.ids = np.zeros(1 << 16, dtype="<u4")
+        self.ends = np.zeros(1 << 14, dtype=np.int64)  # of slot n: place n + 1
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def learn(self) -> None:
+        """Encode the fresh stretches."""
+        fresh, known = self.slots.fresh, len(self.slots) - len(self.slots.fresh)
+        sizes = np.zeros(len(fresh), dtype=np.int64)
+        plain = np.array([" " not in x for x in fresh])
+        # Of stretches without a space the first token, and no other, has one: joined ones are told apart by it.
+        order = np.append(np.flatnonzero(plain), np.flatnonzero(~plain))
+        joined = [fresh[k] for k in order[: plain.sum()]]
+        groups = [" " + " ".join(joined[k : k + JOINED]) for k in range(0, len(joined), JOINED)] + [" " + fresh[k] for k in order[plain.sum() :]]
+        ids, ends = array("I"), []
+        for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):
+            ids.extend(e.ids)
+            ends.append(len(ids))
+        ids = np.frombuffer(ids, dtype=np.uint32)
+        n = -(-len(joined) // JOINED)
+        stop = ends[n - 1] if n else 0
+        begins = np.append(np.flatnonzero(self.spaced[ids[:stop]]), [stop, *ends[n:]][: len(fresh) - len(joined) + 1])
+        if len(begins) != len(fresh) + 1:
+            raise ValueError("the vocabulary isn't of the byte-level kind")
+        sizes[order] = np.diff(begins)
+        place = np.empty(len(fresh), dtype=np.int64)
+        place[order] = begins[:-1]
+        ends = np.cumsum(sizes)
+        ids = ids[np.repeat(place - (ends - sizes), sizes) + np.arange(len(ids))]
+        start, total = int(self.ends[known]), int(self.ends[known]) + len(ids)
+        if total > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(total, len(self.ids)), dtype="<u4")))
+        if len(self.slots) + 1 > len(self.ends):
+            self.ends = np.concatenate((self.ends, np.zeros(max(len(self.slots) + 1, len(self.ends)), dtype=np.int64)))
+        self.ids[start:total] = ids
+        self.ends[known + 1 : len(self.slots) + 1] = start + np.cumsum(sizes)
+        fresh.clear()
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, as little-endian 32-bit numbers."""
+        if len(self.slots) > KEPT:
+            self.forget()
+        firsts, places, counts = [], [], []
+        for text in texts:
+            if self.added and self.added.search(text):
+                firsts.append(self.whole(text))
+                counts.append(0)
+                continue
+            first, *rest = stretches(text)
+            firsts.append(self.whole(first) if first else NOTHING)
+            counts.append(len(rest))
+            places.append(np.fromiter(map(self.slots.__getitem__, rest), dtype=np.int64, count=len(rest)))
+        if self.slots.fresh:
+            self.learn()
+        if not places:
+            return firsts
+        place = np.concatenate(places)
+        start = self.ends[place]
+        size = self.ends[place + 1] - start
+        ends = np.cumsum(size)
+        flat = self.ids[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.append(0, ends)[np.append(0, np.cumsum(counts))]
+        return [np.concatenate((first, flat[i:j])) if i < j else first for first, i, j in zip(firsts, bounds.tolist(), bounds[1:].tolist(), strict=False)]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_many([text])[0]
 
 
 @functools.cache
@@ -79,7 +154,7 @@ def train_dictionary(docs: DataFrame, path: str, end: int) -> bytes:
     kind = "<u4" if own.wide else "<u2"
     rows = docs.filter(F.col("id").isin(keys)).select(F.substring("text", 1, 4 * SAMPLE_IDS).alias("text")).limit(SAMPLE_DOCS) if keys else None
     texts = sorted(r.text or "" for r in rows.toLocalIterator()) if keys else []
-    samples = [np.append(np.frombuffer(own.encode(t), "<u4")[:SAMPLE_IDS], end).astype(kind).tobytes() for t in texts]
+    samples = [np.append(own.encode(t)[:SAMPLE_IDS], end).astype(kind).tobytes() for t in texts]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on
@@ -143,10 +218,12 @@ def write_token_ids(docs: DataFrame, folder: str, path: str, end: int = 2, id_co
         def close() -> pd.DataFrame:
             return pd.DataFrame({"part": [part], "block": [block], "start": [start], "tokens": [sum(n for _, n, _ in rows)], "data": [pack(rows, digest, own.wide)]})
 
-        tail = np.array([end], dtype="<u4").tobytes()
+        tail = np.array([end], dtype="<u4")
         for batch in batches:
-            for key, text in zip(batch["id"].astype("Int64"), batch["text"], strict=True):
-                ids = np.frombuffer(own.encode(text or "") + tail, "<u4")
+            texts = batch["text"].tolist()
+            encoded = (ids for k in range(0, len(texts), TOGETHER) for ids in own.encode_many([t or "" for t in texts[k : k + TOGETHER]]))
+            for key, ids in zip(batch["id"].astype("Int64").tolist(), encoded, strict=True):
+                ids = np.append(ids, tail)
                 frame = press.compress((ids if own.wide else ids.astype("<u2")).tobytes())
                 rows.append((None if key is pd.NA else int(key), len(ids), frame))
                 size += len(frame)
