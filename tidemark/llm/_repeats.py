@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._bytes import mixed, window_anchors
+from ._ids import masked
 from ._store import cut
 
-NO_ID = -(1 << 63)
 SEGMENTS = "route long, digest long, id long, mark int, first int, stop int, kind int"
 #: kind of a segment: to be counted; covered as equal ones were met in the same batch; to be counted, but known to be met more than once.
 ALONE, COVERED, SEVERAL = 0, 1, 2
@@ -32,7 +32,7 @@ ALONE, COVERED, SEVERAL = 0, 1, 2
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, mark, text); null texts count as empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(text).alias("mark"), text.alias("text"))
+    return docs.select(masked(F.col(id_col)).alias("id"), F.hash(text).alias("mark"), text.alias("text"))
 
 
 def digest(content: bytes) -> int:

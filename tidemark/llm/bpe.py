@@ -18,9 +18,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._ids import masked, unmasked
 from ._chunks import Kept, stretches
 
-#: Entries of the store of encoded stretches in a Python worker (about 100 MB), and of pairs and pre-tokens.
+#: Entries, of the younger half, of the store of encoded stretches in a Python worker (about 100 MB) and of that of token pairs; pre-tokens have half as many.
 KEPT = 400_000
 NEVER = 1 << 60
 #: The pre-token pattern of the byte-level vocabulary, with white space as Unicode has it (fixed value).
@@ -120,8 +121,8 @@ class Encoder:
         # A token that its own bytes don't lead to ends no prefix.
         reached = {s: i for s, i in ids.items() if len(s) == 1 or (i in self.parts and self.merged(s) == [i])}
         self.automaton = Automaton(reached)
-        self.fits = Kept(self.compatible, 4 * KEPT)
-        self.words = Kept(self.encode_word, KEPT)
+        self.fits = Kept(self.compatible, KEPT)
+        self.words = Kept(self.encode_word, KEPT // 2)
         self.pieces = Kept(lambda x: self.encode_stretch(" " + x), KEPT)
         self.pattern = regex.compile(PATTERN)
 
@@ -226,8 +227,8 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             yield out
 
     kind = "id long, ids array<int>, decoded string" if ids else SCHEMA
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, kind).withColumnRenamed("id", id_col)
+    rows = docs.select(masked(F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(run, kind).withColumn("id", unmasked(F.col("id"))).withColumnRenamed("id", id_col)
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import SPACES, gram_hashes, range_hashes
+from ._ids import mark_of, masked, unmasked, without
 
 SHINGLE, LEAST = 5, 0.8
 #: Bytes of items sent to the executors at a time; a larger benchmark is searched in as many passes.
@@ -108,30 +109,31 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
     A text of fewer than five words is one shingle; a text without words, or null, is in no pair. Items without an id are
     left out; documents without one give null. Rows that repeat give their pairs again."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind, out = f"`{id_col}` long, `{item_col}` long, shared long, size long, containment double", None
+    return pairs(docs, benchmark, id_col, text_col, item_col, item_text_col, least).select(F.col("id").alias(id_col), F.col("item").alias(item_col), "shared", "size", "containment")
+
+
+def pairs(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, least: float) -> DataFrame:
+    """(id, mark, item, shared, size, containment)."""
+    spark, out = docs.sparkSession, None
+    rows = docs.select(masked(F.col(id_col)).alias("id"), mark_of(F.col(text_col)).alias("mark"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    kind = "id long, mark long, item long, shared long, size long, containment double"
     for block in item_blocks(benchmark, item_col, item_text_col):
         sent = spark.sparkContext.broadcast(Sketches(block, least))
 
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                ids = batch["id"].astype("Int64")
-                found = [(k, *x, x[1] / x[2]) for k, text in enumerate(batch["text"]) for x in sent.value.found(text, least)]
+                found = [(key, mark, *x, x[1] / x[2]) for key, mark, text in batch.itertuples(index=False) for x in sent.value.found(text, least)]
                 if found:
-                    frame = pd.DataFrame(found, columns=[id_col, item_col, "shared", "size", "containment"])
-                    frame[id_col] = ids.iloc[frame[id_col]].array
-                    yield frame
+                    yield pd.DataFrame(found, columns=["id", "mark", "item", "shared", "size", "containment"])
 
-        pairs = rows.mapInPandas(run, kind)
-        out = pairs if out is None else out.unionByName(pairs)
+        part = rows.mapInPandas(run, kind).withColumn("id", unmasked(F.col("id")))
+        out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], kind) if out is None else out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, with its columns, that hold no item of the benchmark."""
-    gone = contained_items(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    return without(docs, pairs(docs, benchmark, id_col, text_col, "item_id", "text", LEAST), id_col, text_col)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._ids import mark_of, without
 from ._store import cut
 
 #: Parts that the copies of one text are dealt to before they meet.
@@ -45,29 +46,28 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     several = cut(per_digest.filter("texts > 1 OR group_size > 1"), "exact-dedup")
     added = ["keep_id", "group_size", "kept", "text_sha256"]
-    rest = docs.drop(*[c for c in added if c not in (id_col, text_col)])
-    rest = rest.withColumn("text_sha256", F.sha2(normalised(F.col(text_col)), 256))
-    clash = several.filter("texts > 1").select("digest")
-    own = several.filter("texts = 1").select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"), F.col("group_size").alias("_size"))
-    if clash.isEmpty():
-        out = rest.join(own, rest["text_sha256"] == own["_digest"], "left").drop("_digest")
+    own = [c for c in docs.columns if c not in added or c in (id_col, text_col)]
+    # The row travels as one struct, so no name of its columns can clash.
+    rest = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.sha2(normalised(F.col(text_col)), 256).alias("sha"))
+    same = ["digest", "keep_id", "group_size"]
+    if several.filter("texts > 1").isEmpty():
+        out = rest.join(several.select(*same), F.col("sha") == F.col("digest"), "left")
     else:
-        whole = found.join(clash, "digest", "left_semi").select(F.col("digest").alias("_digest"), F.col("body").alias("_body"), F.col("keep_id").alias("_keep"), F.col("group_size").alias("_size"))
-        whole = own.withColumn("_body", F.lit(None).cast("string")).unionByName(whole)
-        same = F.col("_body").isNull() | (F.col("_body") == normalised(F.col(text_col)))
-        out = rest.join(whole, (rest["text_sha256"] == whole["_digest"]) & same, "left").drop("_digest", "_body")
-    size = F.coalesce(F.col("_size"), F.lit(1).cast("long"))
-    keep = F.when(F.col("_size").isNull(), F.col(id_col)).otherwise(F.col("_keep"))
-    out = out.withColumn("keep_id", keep).withColumn("group_size", size)
-    return out.withColumn("kept", F.col("keep_id").eqNullSafe(F.col(id_col))).drop("_keep", "_size")
+        clash = several.filter("texts > 1").select("digest")
+        whole = found.join(clash, "digest", "left_semi").select(*same, "body")
+        whole = several.filter("texts = 1").select(*same, F.lit(None).cast("string").alias("body")).unionByName(whole)
+        equal = F.col("body").isNull() | (F.col("body") == normalised(F.col(f"row.`{text_col}`")))
+        out = rest.join(whole, (F.col("sha") == F.col("digest")) & equal, "left")
+    row_id = F.col(f"row.`{id_col}`")
+    keep = F.when(F.col("digest").isNull(), row_id).otherwise(F.col("keep_id"))
+    return out.select("row.*", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), keep.eqNullSafe(row_id).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with the columns of docs."""
-    added = "_kept"
-    found = exact_dedup(docs.select(id_col, text_col), id_col, text_col)
-    gone = found.filter(~F.col("kept")).select(F.col(id_col).alias(added)).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone[added]), "left_anti")
+    rows = docs.select(id_col, text_col, mark_of(F.col(text_col)).alias("mark"))
+    gone = exact_dedup(rows, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).cast("long").alias("id"), "mark")
+    return without(docs, gone, id_col, text_col)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,7 +121,8 @@ def identify_language(docs: DataFrame, model: Model, id_col: str = "doc_id", tex
     """Every row of docs, whole, with lang_pred and score. Null texts, and texts without a letter, are und with score 0;
     rows that repeat get the same answer; without anything to learn from every text is und. Columns of docs named
     lang_pred or score are replaced."""
-    rest = docs.drop(*[c for c in ("lang_pred", "score") if c not in (id_col, text_col)])
+    own = [c for c in docs.columns if c not in ("lang_pred", "score") or c in (id_col, text_col)]
+    rest = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col(text_col).alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -129,7 +130,7 @@ def identify_language(docs: DataFrame, model: Model, id_col: str = "doc_id", tex
         langs, scores = sent.value.predict(texts.tolist())
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
-    return rest.withColumn("_found", run(F.col(text_col))).select("*", "_found.lang_pred", "_found.score").drop("_found")
+    return rest.withColumn("found", run(F.col("text"))).select("row.*", "found.lang_pred", "found.score")
 
 
 def keep_known(docs: DataFrame, learn: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

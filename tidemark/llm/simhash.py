@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import word_bounds
+from ._ids import mark_of, masked, unmasked, without
 from ._store import cut
 from .components import connected_components
 
@@ -47,14 +48,14 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) of every row; fp is the fingerprint as a signed long."""
+    """(id, mark, fp) of every row: a hash of the text and the fingerprint, both as signed longs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = np.array([fingerprint(t) for t in batch["text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"id": batch["id"], "fp": own})
+            yield pd.DataFrame({"id": batch["id"], "mark": batch["mark"], "fp": own})
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, "id long, fp long")
+    return docs.select(masked(F.col(id_col)).alias("id"), mark_of(F.col(text_col)).alias("mark"), F.col(text_col).alias("text")).mapInPandas(run, "id long, mark long, fp long").withColumn("id", unmasked(F.col("id")))
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -202,23 +203,25 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null and empty texts have fingerprint zero and link like others. A null id stays null and is never a component's
     name unless nothing else is in it. Rows that repeat an id count once for naming; an empty table gives an empty result.
     """
+    found = with_components(docs, id_col, text_col, far)
+    return found.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def with_components(docs: DataFrame, id_col: str, text_col: str, far: int) -> DataFrame:
+    """(id, mark, fp, component_id) of every row."""
     prints = cut(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = cut(prints.groupBy("fp").agg(F.min("id").alias("least")), "fingerprints")
-    names = nodes.withColumn("id", F.col("fp"))
-    links = near_links(names.select("id", "fp"), far)
-    found = connected_components(links)
-    grouped = names.join(found, names["id"] == found["node"], "left").select("fp", "least", F.coalesce("component", "id").alias("component"))
+    # A distinct fingerprint is its own name in links.
+    found = connected_components(near_links(nodes.select(F.col("fp").alias("id"), "fp"), far))
+    grouped = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    per_print = grouped.join(least, "component").select("fp", "component_id")
-    out = prints.join(per_print, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-    return out
+    return prints.join(grouped.join(least, "component").select("fp", "component_id"), "fp")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: int = FAR) -> DataFrame:
     """The rows of docs, with its columns, whose id is the least of their component."""
-    found = simhash_components(docs.select(id_col, text_col), id_col, text_col, far)
-    gone = found.filter(~F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    found = with_components(docs.select(id_col, text_col), id_col, text_col, far)
+    return without(docs, found.filter(~F.col("component_id").eqNullSafe(F.col("id"))), id_col, text_col)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,9 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ._bytes import gram_hashes, range_hashes, word_bounds
-from ._repeats import NO_ID, Unit, keyed, repeats, spans
+from ._ids import unmasked
+from ._repeats import Unit, keyed, repeats, spans
 from .simhash import whole_groups
 
 WINDOW, GRAM = 50, 8
@@ -161,14 +163,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 edges = [0, *(x for span in gone for x in span), len(words)]
                 left = [w for i, j in zip(edges[::2], edges[1::2], strict=True) for w in words[i:j]] if gone else words
                 kept = b" ".join(left)
-                row = (None if key == NO_ID else key, len(words), len(words) - len(left), hashlib.sha256(kept).hexdigest())
+                row = (key, len(words), len(words) - len(left), hashlib.sha256(kept).hexdigest())
                 out.append((*row, [list(x) for x in gone], kept.decode()) if texts else row)
-            frame = pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_sha256", "removed", "kept"][: 6 if texts else 4])
-            frame["id"] = frame["id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_sha256", "removed", "kept"][: 6 if texts else 4])
 
     kind = "id long, n_words long, n_removed long, kept_sha256 string" + ", removed array<array<long>>, kept string" * texts
-    return own.join(found, ["id", "mark"], "left").mapInPandas(run, kind).withColumnRenamed("id", id_col)
+    return own.join(found, ["id", "mark"], "left").mapInPandas(run, kind).withColumn("id", unmasked(F.col("id"))).withColumnRenamed("id", id_col)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,9 +14,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ._bytes import FACTOR, mixed
-from ._repeats import NO_ID, Unit, keyed, repeats, spans
+from ._ids import unmasked
+from ._repeats import Unit, keyed, repeats, spans
 from .simhash import whole_groups
 
 WINDOW, GRAM = 200, 8
@@ -132,15 +134,13 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 gone = spans(where, window) if where is not None else []
                 edges = [0, *(x for span in gone for x in span), len(data)]
                 kept = b"".join(data[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True))
-                row = (None if key == NO_ID else key, len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest())
+                row = (key, len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest())
                 out.append((*row, [list(x) for x in gone], kept) if texts else row)
             names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["removed", "kept"] * texts]
-            frame = pd.DataFrame(out, columns=names)
-            frame["id"] = frame["id"].astype("Int64")
-            yield frame
+            yield pd.DataFrame(out, columns=names)
 
     kind = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", removed array<array<long>>, kept binary" * texts
-    return own.join(found, ["id", "mark"], "left").mapInPandas(run, kind).withColumnRenamed("id", id_col)
+    return own.join(found, ["id", "mark"], "left").mapInPandas(run, kind).withColumn("id", unmasked(F.col("id"))).withColumnRenamed("id", id_col)
 
 
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

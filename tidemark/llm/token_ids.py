@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._chunks import stretches
+from ._ids import NO_ID, masked, unmasked
 from ._store import new_folder
 
 #: Documents sampled for the dictionary, ids of each that count, and the dictionary's size: fixed bounds at every input size.
@@ -148,7 +149,7 @@ def library_encoder(path: str) -> LibraryEncoder:
 
 def train_dictionary(docs: DataFrame, path: str, end: int) -> bytes:
     """A dictionary from the ids of SAMPLE_DOCS documents, taken by a hash of their id; empty if there is too little."""
-    chosen = docs.select("id").filter("id is not null").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
+    chosen = docs.select("id").filter(F.col("id") != NO_ID).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
     keys = [r.id for r in chosen.collect()]
     own = library_encoder(path)
     kind = "<u4" if own.wide else "<u2"
@@ -207,7 +208,7 @@ def write_token_ids(docs: DataFrame, folder: str, path: str, end: int = 2, id_co
     Folder gets blocks/, parts/ (first token of each part) and dictionary/.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(masked(F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
     dictionary = train_dictionary(docs, path, end)
     digest = hashlib.sha256(dictionary).digest()
 
@@ -222,10 +223,10 @@ def write_token_ids(docs: DataFrame, folder: str, path: str, end: int = 2, id_co
         for batch in batches:
             texts = batch["text"].tolist()
             encoded = (ids for k in range(0, len(texts), TOGETHER) for ids in own.encode_many([t or "" for t in texts[k : k + TOGETHER]]))
-            for key, ids in zip(batch["id"].astype("Int64").tolist(), encoded, strict=True):
+            for key, ids in zip(batch["id"].tolist(), encoded, strict=True):
                 ids = np.append(ids, tail)
                 frame = press.compress((ids if own.wide else ids.astype("<u2")).tobytes())
-                rows.append((None if key is pd.NA else int(key), len(ids), frame))
+                rows.append((None if key == NO_ID else int(key), len(ids), frame))
                 size += len(frame)
                 if size >= BLOCK_BYTES:
                     yield close()
@@ -235,7 +236,7 @@ def write_token_ids(docs: DataFrame, folder: str, path: str, end: int = 2, id_co
             yield close()
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = docs.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), F.coalesce("text", F.lit("")))
+    dealt = docs.repartitionByRange(parts, F.col("id")).sortWithinPartitions(F.col("id"), F.coalesce("text", F.lit("")))
     blocks = dealt.mapInPandas(run, "part int, block int, start long, tokens long, data binary")
     blocks.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
     # A row for each part: as many as there are shuffle partitions, whatever the input.
@@ -257,14 +258,13 @@ def read_token_ids(spark: SparkSession, folder: str, ids: bool = True) -> DataFr
                 own = [block.ids(k) for k in range(len(block.index))]
                 counts = np.array([len(x) for x in own], dtype=np.int64)
                 out = {
-                    "id": pd.array(block.index["id"], dtype="Int64"), "start": firsts[row.part] + row.start + np.cumsum(counts) - counts,
+                    "id": np.where(block.index["null"] == 1, NO_ID, block.index["id"]), "start": firsts[row.part] + row.start + np.cumsum(counts) - counts,
                     "n_tokens": counts, "ids_crc32": [zlib.crc32(x.tobytes()) for x in own],
                 }
-                out["id"][block.index["null"] == 1] = pd.NA
                 yield pd.DataFrame(out | ({"ids": [x.astype(np.int64) for x in own]} if ids else {}))
 
     kind = "id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids
-    return spark.read.parquet(f"{folder}/blocks").select("part", "start", "data").mapInPandas(run, kind)
+    return spark.read.parquet(f"{folder}/blocks").select("part", "start", "data").mapInPandas(run, kind).withColumn("id", unmasked(F.col("id")))
 
 
 def read_document(spark: SparkSession, folder: str, key: int) -> np.ndarray | None:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._bytes import range_hashes
+from ._ids import masked, unmasked
 from .decontamination import PARTING
 from .language_id import remainder
 
@@ -302,10 +303,10 @@ def score_toxicity(docs: DataFrame, net: Network, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Scorer(sent.value)
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "score": own.scores(batch["text"].tolist())})
+            yield pd.DataFrame({"id": batch["id"], "score": own.scores(batch["text"].tolist())})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "id long, score double").withColumnRenamed("id", id_col)
+    rows = docs.select(masked(F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(run, "id long, score double").withColumn("id", unmasked(F.col("id"))).withColumnRenamed("id", id_col)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
