@@ -14,9 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._sample import sample_ids
+
 SPAN, ALPHABET = 3, 64
 #: Bounds of what is learned from: texts of a language, landmarks in all, and characters of a text (longer ones aren't taken).
 PER_LANGUAGE, LANDMARKS, LONGEST, RIDGE = 300, 96, 8000, 1e-2
@@ -109,10 +111,7 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """A model from at most PER_LANGUAGE documents of each language, taken by a hash of the id."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("text is not null AND lang is not null").filter(remainder("id", 4) != 2).filter(F.length("text") <= LONGEST)
-    # The ranking sees ids only; texts are fetched for those chosen.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= PER_LANGUAGE)
-    keys = [r.id for r in chosen.collect()]
+    keys = [i for i, _ in sample_ids(rows.select("id", F.col("lang").alias("stratum")), lambda _: PER_LANGUAGE)]
     found = rows.filter(F.col("id").isin(keys)).orderBy("lang", F.xxhash64("id"), "id", "text").limit(2 * len(keys)).collect() if keys else []
     return Model([r.text for r in found], [r.lang for r in found])
 

@@ -23,7 +23,7 @@ from .simhash import whole_groups
 
 WINDOW, GRAM = 200, 8
 #: Bytes of segments sorted at a time, and segments of a route beyond which its windows are dealt out by digest.
-CHUNK, HOT = 2 << 20, 8000
+CHUNK, HOT = 2 << 20, 2000
 
 
 class Bytes(Unit):

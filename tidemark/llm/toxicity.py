@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import range_hashes
+from ._sample import sample_ids
 from ._ids import masked, unmasked
 from .decontamination import PARTING
 from .language_id import remainder
@@ -287,9 +288,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """A network from at most TOXIC and CLEAN labelled texts, taken by a hash of the id. Only rows whose crc32 of the id
     modulo 3 isn't 1 are learned from; null ids, labels and texts aren't."""
     rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null AND y in (0, 1)").filter(remainder("id", 3) != 1)
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
-    chosen = rows.withColumn("rank", rank).filter(F.col("rank") <= F.when(F.col("y") == 1, TOXIC).otherwise(CLEAN)).collect()
-    y = {r.id: r.y for r in chosen}
+    y = dict(sample_ids(rows.select("id", F.col("y").alias("stratum")), lambda label: TOXIC if label else CLEAN))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("id").isin(list(y))).filter(F.length("text") <= LONGEST)
     found = sorted(((r.id, r.text) for r in texts.limit(2 * (TOXIC + CLEAN)).collect())) if y else []
     return train([t for _, t in found], [y[i] for i, _ in found])
