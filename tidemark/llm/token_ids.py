@@ -32,11 +32,12 @@ from ._store import new_folder
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 16_384, 65_536
 #: Bytes of frames after which a block closes, and stretches kept encoded in a worker.
 BLOCK_BYTES, KEPT = 1 << 20, 1_200_000
+#: Level of the compression.
+LEVEL = 1
 #: Texts encoded together.
 TOGETHER = 128
 #: Stretches joined for the library, and how the vocabulary spells a leading space.
 JOINED, SPACE = 64, chr(0x120)
-NOTHING = np.zeros(0, dtype="<u4")
 MAGIC, HEAD = b"TMID", struct.Struct("<4sHB32sI")
 
 
@@ -76,9 +77,6 @@ class LibraryEncoder:
         self.ids = np.zeros(1 << 16, dtype="<u4")
         self.ends = np.zeros(1 << 14, dtype=np.int64)  # of slot n: place n + 1
 
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
     def learn(self) -> None:
         """Encode the fresh stretches."""
         fresh, known = self.slots.fresh, len(self.slots) - len(self.slots.fresh)
@@ -116,16 +114,14 @@ class LibraryEncoder:
         """Ids of each text, as little-endian 32-bit numbers."""
         if len(self.slots) > KEPT:
             self.forget()
-        firsts, places, counts = [], [], []
+        heads, places, counts = [], [], []
         for text in texts:
-            if self.added and self.added.search(text):
-                firsts.append(self.whole(text))
-                counts.append(0)
-                continue
-            first, *rest = stretches(text)
-            firsts.append(self.whole(first) if first else NOTHING)
+            # A text with the string of an added token goes to the library whole.
+            head, *rest = [text] if self.added and self.added.search(text) else stretches(text)
+            heads.append(head)
             counts.append(len(rest))
             places.append(np.fromiter(map(self.slots.__getitem__, rest), dtype=np.int64, count=len(rest)))
+        firsts = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)]
         if self.slots.fresh:
             self.learn()
         if not places:
@@ -198,7 +194,7 @@ def decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
 
 @functools.cache
 def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
-    return zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary)) if dictionary else zstandard.ZstdCompressor(level=3)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary)) if dictionary else zstandard.ZstdCompressor(level=LEVEL)
 
 
 def write_token_ids(docs: DataFrame, folder: str, path: str, end: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
