@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Texts in a batch to Python.
+ROWS = 1000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share. Where the cluster names none, as in tests, one is made and set."""
@@ -36,6 +39,13 @@ def drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets a Python worker hold ROWS texts at a time instead of Spark's 10,000, unless the session says otherwise."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(ROWS))
+
+
 def cut(df: DataFrame, what: str) -> DataFrame:
     """The rows written as Parquet in the shared folder and read again: later reads survive lost executors."""
     spark = df.sparkSession

@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._ids import masked, unmasked
+from ._store import small_batches
 from ._chunks import Kept, stretches
 
 #: Entries, of the younger half, of the store of encoded stretches in a Python worker (about 100 MB) and of that of token pairs; pre-tokens have half as many.
-KEPT = 400_000
+KEPT = 250_000
 NEVER = 1 << 60
 #: The pre-token pattern of the byte-level vocabulary, with white space as Unicode has it (fixed value).
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -226,6 +227,7 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             out.insert(0, "id", batch["id"].to_numpy())
             yield out
 
+    small_batches(docs.sparkSession)
     kind = "id long, ids array<int>, decoded string" if ids else SCHEMA
     rows = docs.select(masked(F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInPandas(run, kind).withColumn("id", unmasked(F.col("id"))).withColumnRenamed("id", id_col)

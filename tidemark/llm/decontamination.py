@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import SPACES, gram_hashes, range_hashes
 from ._ids import mark_of, masked, unmasked, without
+from ._store import small_batches
 
 SHINGLE, LEAST = 5, 0.8
 #: Bytes of items sent to the executors at a time; a larger benchmark is searched in as many passes.
@@ -115,6 +116,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 def pairs(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, least: float) -> DataFrame:
     """(id, mark, item, shared, size, containment)."""
     spark, out = docs.sparkSession, None
+    small_batches(spark)
     rows = docs.select(masked(F.col(id_col)).alias("id"), mark_of(F.col(text_col)).alias("mark"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = "id long, mark long, item long, shared long, size long, containment double"
     for block in item_blocks(benchmark, item_col, item_text_col):

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._sample import sample_ids
+from ._store import small_batches
 
 SPAN, ALPHABET = 3, 64
 #: Bounds of what is learned from: texts of a language, landmarks in all, and characters of a text (longer ones aren't taken).
@@ -122,6 +123,7 @@ def identify_language(docs: DataFrame, model: Model, id_col: str = "doc_id", tex
     lang_pred or score are replaced."""
     own = [c for c in docs.columns if c not in ("lang_pred", "score") or c in (id_col, text_col)]
     rest = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col(text_col).alias("text"))
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import word_bounds
 from ._ids import mark_of, masked, unmasked, without
-from ._store import cut
+from ._store import cut, small_batches
 from .components import connected_components
 
 WORDS, FAR, RUN = 4, 4, 8
@@ -55,6 +55,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             own = np.array([fingerprint(t) for t in batch["text"]], dtype=np.uint64).view(np.int64)
             yield pd.DataFrame({"id": batch["id"], "mark": batch["mark"], "fp": own})
 
+    small_batches(docs.sparkSession)
     return docs.select(masked(F.col(id_col)).alias("id"), mark_of(F.col(text_col)).alias("mark"), F.col(text_col).alias("text")).mapInPandas(run, "id long, mark long, fp long").withColumn("id", unmasked(F.col("id")))
 
 

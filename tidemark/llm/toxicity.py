@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ._bytes import range_hashes
 from ._sample import sample_ids
+from ._store import small_batches
 from ._ids import masked, unmasked
 from .decontamination import PARTING
 from .language_id import remainder
@@ -297,6 +298,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 def score_toxicity(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row's id and score from 0 to 1; whole texts are read. Null texts and texts without a word score 0; rows that
     repeat score alike; a null id stays null; an empty table gives an empty result."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
