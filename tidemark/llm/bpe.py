@@ -23,7 +23,7 @@ from ._store import small_batches
 from ._chunks import Kept, stretches
 
 #: Entries, of the younger half, of the store of encoded stretches in a Python worker (about 100 MB) and of that of token pairs; pre-tokens have half as many.
-KEPT = 250_000
+KEPT = 350_000
 NEVER = 1 << 60
 #: The pre-token pattern of the byte-level vocabulary, with white space as Unicode has it (fixed value).
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
