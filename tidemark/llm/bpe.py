@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -22,14 +23,20 @@ from ._ids import masked, unmasked
 from ._store import small_batches
 from ._chunks import Kept, stretches
 
-#: Entries, of the younger half, of the store of encoded stretches in a Python worker (about 100 MB) and of that of token pairs; pre-tokens have half as many.
-KEPT = 350_000
+#: Entries, of the younger half, of the store of encoded stretches in a Python worker (about 150 MB) and of that of token pairs; pre-tokens and their beginnings have half as many.
+KEPT = 500_000
+#: Bytes of a beginning: words that share one go on from its stored last tokens.
+BEGUN = 6
 NEVER = 1 << 60
 #: The pre-token pattern of the byte-level vocabulary, with white space as Unicode has it (fixed value).
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
+#: Latin letters and ASCII signs after them: two pre-tokens at most, which the pattern needn't look for. No apostrophe, as it may begin a contraction.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in the vocabulary file: printable ones stand for themselves, the rest follow from 256 on."""
     own = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -110,6 +117,7 @@ class Encoder:
             self.spelling[i] = s
         for s, i in self.special.items():
             self.spelling[i] = s.encode()
+        self.size = list(map(len, self.spelling))
         self.decimal = [str(i) for i in range(len(self.spelling))]
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}  # pair -> rank, merged
         self.parts: dict[int, tuple[int, int]] = {}  # merged -> pair
@@ -124,7 +132,8 @@ class Encoder:
         self.automaton = Automaton(reached)
         self.fits = Kept(self.compatible, KEPT)
         self.words = Kept(self.encode_word, KEPT // 2)
-        self.pieces = Kept(lambda x: self.encode_stretch(" " + x), KEPT)
+        self.begun = Kept(self.begin, KEPT // 2)
+        self.pieces = Kept(self.encode_piece, KEPT)
         self.pattern = regex.compile(PATTERN)
 
     def merged(self, s: bytes) -> list[int]:
@@ -158,12 +167,12 @@ class Encoder:
             else:
                 return True
 
-    def encode_word(self, word: str) -> tuple[int, ...]:
-        s = word.encode()
+    def follow(self, s: bytes, last: list[int], state: int, matched: int) -> tuple[int, int]:
+        """Add the last token of every further prefix of s to last, which holds those of the prefixes before; state and
+        matched are where the automaton stands after them, and what is returned is where it stands at the end."""
         step, length, link, ends, fits = self.automaton.step, self.automaton.length, self.automaton.link, self.automaton.ends, self.fits
-        last = [0]
-        state = matched = i = 0
-        for byte in s:
+        i = len(last) - 1
+        for byte in s[i:]:
             i += 1
             while (to := step.get(state << 8 | byte)) is None:
                 state = link[state]
@@ -174,11 +183,32 @@ class Encoder:
                 if size <= matched and (size == i or fits[last[-size] << 32 | token]):
                     break
             last.append(token)
-        out, i = [], len(s)
+        return state, matched
+
+    def begin(self, s: bytes) -> tuple[int, int, tuple[int, ...]]:
+        """Where the automaton stands after s, and the last token of each prefix of it."""
+        last = [0]
+        return *self.follow(s, last, 0, 0), tuple(last)
+
+    def encode_word(self, word: str) -> tuple[int, ...]:
+        s = word.encode()
+        state, matched, last = self.begun[s[:BEGUN]] if len(s) > BEGUN else (0, 0, (0,))
+        last = list(last)
+        self.follow(s, last, state, matched)
+        out, i, size = [], len(s), self.size
         while i:
-            out.append(last[i])
-            i -= len(self.spelling[last[i]])
-        return tuple(reversed(out))
+            token = last[i]
+            out.append(token)
+            i -= size[token]
+        out.reverse()
+        return tuple(out)
+
+    def encode_piece(self, piece: str) -> tuple[int, ...]:
+        """A stretch that lacks the space before it."""
+        if plain := PLAIN(piece):
+            letters, signs = plain.groups()
+            return self.words[" " + letters] + self.words[signs] if signs else self.encode_word(" " + letters)
+        return self.encode_stretch(" " + piece)
 
     def encode_stretch(self, stretch: str) -> tuple[int, ...]:
         return tuple(token for word in self.pattern.findall(stretch) for token in self.words[word])
