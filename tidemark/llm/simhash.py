@@ -23,8 +23,8 @@ from ._store import cut, small_batches
 from .components import connected_components
 
 WORDS, FAR, RUN = 4, 4, 8
-#: Node pairs looked at at a time.
-PAIRS = 1 << 18
+#: Node pairs looked at at a time; RUN * RUN times as many pairs below them are held for a moment (2 million).
+PAIRS = 1 << 15
 #: Fingerprints of a bucket above which it is dealt out by its other bits too.
 LARGE = 4096
 
