@@ -309,3 +309,30 @@ def test_warc(spark, tmp_path):
     assert warc.assemble(warc.read_records(spark, empty)).count() == 0
     with pytest.raises(Exception, match="without an id"):
         warc.write_warc(spark.createDataFrame([(None, "u", "h")], df.schema), new_folder(spark, "test"))
+
+
+def test_warc_of_repeated_ids(spark):
+    """Each row is one capture with its own payload, whatever its id; references name records that hold the payload."""
+    a, b = "a" * 150, "b" * 150
+    pages = [(5, "u", a), (5, "u", a), (5, "v", b), (2, "u", b), (2, "u", "short"), (9, "u", a), (9, "u", a), (7, "u", "once")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    folder = new_folder(spark, "test")
+    warc.write_warc(df, folder)
+    records = warc.read_records(spark, folder).cache()
+    first = {}
+    for i, _, t in pages:
+        if i is not None:
+            first[t] = min(first.get(t, i), i)
+    want = []
+    for i, _, t in pages:
+        body = (t or "").encode()
+        again = i is not None and len(body) >= 100 and first[t] != i
+        want.append((i, len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", first[t] if again else None))
+    assert got(warc.captured_pages(records), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == sorted(want, key=str)
+    out = {r.record_id: r for r in warc.assemble(records).collect()}
+    assert records.count() == 3 * len(pages) == 3 * len(out) and "<urn:capture:7:main>" in out
+    for r in out.values():
+        if r.response.kind == "revisit":
+            assert out[r.response.refers_to].response.kind == "response" and out[r.response.refers_to].response.digest == r.response.digest
+        else:
+            assert len(r.response.payload) == int(r.metadata.fields["payload-length"])

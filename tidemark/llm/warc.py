@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._store import new_folder
+from ._store import cut, new_folder
 
 #: Payloads of fewer bytes are always stored whole.
 LEAST = 100
@@ -34,25 +34,42 @@ def record(kind: str, record_id: Column, url: Column, body: Column, content: str
 
 
 def first_captures(pages: DataFrame) -> DataFrame:
-    """pages with digest, size and first: the smallest id among equal payloads of LEAST bytes or more, where there are several."""
+    """pages with digest, size, tid and first: tid names a row's transaction, first is (id, tid) of a row with the smallest id
+    among equal payloads of LEAST bytes or more, where there are several ids.
+
+    The tid is the id; where an id is null or repeats, a number of the row follows, and the rows are cut so that it stays."""
     pages = pages.withColumn("digest", F.sha2("body", 256)).withColumn("size", F.octet_length("body").cast("long"))
-    firsts = pages.filter(F.col("size") >= LEAST).groupBy("digest", "size").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return pages.join(firsts, ["digest", "size"], "left")
+    repeats = lambda df: df.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", F.lit(True).alias("again"))
+    if pages.filter("id is null").select("id").union(repeats(pages).select("id")).isEmpty():
+        facts, keys = pages.withColumn("tid", F.col("id").cast("string")), ["digest", "size"]
+        pages = facts
+    else:
+        pages, keys = cut(pages.withColumn("number", F.monotonically_increasing_id()), "warc-pages"), ["number"]
+        facts = pages.drop("url", "body")
+        numbered = F.concat_ws(".", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.col("number").cast("string"))
+        facts = facts.join(repeats(facts), "id", "left").withColumn("tid", F.when(F.col("id").isNull() | F.col("again"), numbered).otherwise(F.col("id").cast("string")))
+    long = facts.filter(F.col("size") >= LEAST).filter("id is not null")
+    firsts = long.groupBy("digest", "size").agg(F.min(F.struct("id", "tid")).alias("first"), F.max("id").alias("last")).filter("first.id < last").drop("last")
+    if keys == ["number"]:
+        firsts = facts.join(firsts, ["digest", "size"], "left").select("number", "tid", "first")
+    return pages.join(firsts, keys, "left")
 
 
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
-    """Write three records of every page. A null payload counts as empty and a null address is written as urn:none;
-    rows without an id are refused, as a capture needs one; a repeated id with an equal payload is written again."""
+    """Write three records of every page. A null payload counts as empty and a null address is written as urn:none; each row
+    of a repeated id is a transaction of its own. Rows without an id are refused."""
     clean = F.regexp_replace(F.coalesce(F.nullif(F.col(url_col), F.lit("")), F.lit("urn:none")), r"[\r\n]", " ")
-    pages = pages.select(F.coalesce(F.col(id_col).cast("long"), F.raise_error(F.lit("a page without an id")).cast("long")).alias("id"), clean.alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("body"))
-    key, pages = F.col("id").cast("string"), first_captures(pages)
-    revisit = F.coalesce(F.col("first") != F.col("id"), F.lit(False))
+    own = F.coalesce(F.col(id_col).cast("long"), F.raise_error(F.lit("a page without an id")).cast("long"))
+    pages = pages.select(own.alias("id"), clean.alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("body"))
+    key, pages = F.col("tid"), first_captures(pages)
+    revisit = F.coalesce(F.col("first.id") != F.col("id"), F.lit(False))
     main, told = F.concat(key, F.lit(":main")), F.concat(F.lit("<urn:capture:"), key, F.lit(":main>"))
     digest, http = ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")
     response = record("response", main, F.col("url"), F.concat(http, F.col("body")), "application/http; msgtype=response", digest)
-    again = record("revisit", main, F.col("url"), http, "application/http; msgtype=response", digest, ("WARC-Profile", F.lit(PROFILE)), ("WARC-Refers-To", F.concat(F.lit("<urn:capture:"), F.col("first").cast("string"), F.lit(":main>"))))
+    again = record("revisit", main, F.col("url"), http, "application/http; msgtype=response", digest, ("WARC-Profile", F.lit(PROFILE)), ("WARC-Refers-To", F.concat(F.lit("<urn:capture:"), F.col("first.tid"), F.lit(":main>"))))
     request = record("request", F.concat(key, F.lit(":request")), F.col("url"), F.concat(F.lit("GET "), F.col("url"), F.lit(" HTTP/1.1\r\n\r\n")), "application/http; msgtype=request", ("WARC-Concurrent-To", told))
-    facts = F.concat(F.lit("capture: "), key, F.lit("\r\npayload-length: "), F.col("size").cast("string"), F.lit("\r\n"))
+    page = F.coalesce(F.concat(F.lit("page-id: "), F.col("id").cast("string"), F.lit("\r\n")), F.lit(""))  # absent where null
+    facts = F.concat(F.lit("capture: "), key, F.lit("\r\n"), page, F.lit("payload-length: "), F.col("size").cast("string"), F.lit("\r\n"))
     metadata = record("metadata", F.concat(key, F.lit(":metadata")), F.col("url"), facts, "application/warc-fields", ("WARC-Concurrent-To", told))
     three = pages.select(F.concat_ws(END, request, F.when(revisit, again).otherwise(response), metadata).alias("value"))
     three.write.option("lineSep", END).option("compression", "gzip").text(folder)
@@ -115,11 +132,15 @@ def assemble(records: DataFrame) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), folder)
-    captures = assemble(read_records(spark, folder, payload=False))
-    number = lambda c: F.regexp_extract(c, r"<urn:capture:(-?\d+):main>", 1).cast("long")
-    return captures.select(
-        number(F.col("record_id")).alias("page_id"), F.col("metadata.fields")["payload-length"].cast("long").alias("payload_bytes"), F.col("response.digest").alias("payload_digest"),
-        F.col("response.kind").alias("record_type"), F.when(F.col("response.refers_to").isNotNull(), number(F.col("response.refers_to"))).alias("refers_to"),
+    return captured_pages(read_records(spark, folder, payload=False))
+
+
+def captured_pages(records: DataFrame) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type and refers_to, a page_id, of each capture."""
+    fields, told = F.col("metadata.fields"), F.col("response.refers_to")
+    return assemble(records).select(
+        fields["page-id"].cast("long").alias("page_id"), fields["payload-length"].cast("long").alias("payload_bytes"), F.col("response.digest").alias("payload_digest"),
+        F.col("response.kind").alias("record_type"), F.when(told.isNotNull(), F.regexp_extract(told, r"<urn:capture:(-?\d+)(\.\d+)?:main>", 1).cast("long")).alias("refers_to"),
     )
 
 
