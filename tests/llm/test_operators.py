@@ -311,13 +311,13 @@ def test_warc(spark, tmp_path):
         warc.write_warc(spark.createDataFrame([(None, "u", "h")], df.schema), new_folder(spark, "test"))
 
 
-def test_warc_of_repeated_ids(spark):
+def test_warc_of_repeated_and_null_ids(spark):
     """Each row is one capture with its own payload, whatever its id; references name records that hold the payload."""
     a, b = "a" * 150, "b" * 150
-    pages = [(5, "u", a), (5, "u", a), (5, "v", b), (2, "u", b), (2, "u", "short"), (9, "u", a), (9, "u", a), (7, "u", "once")]
+    pages = [(5, "u", a), (5, "u", a), (5, "v", b), (2, "u", b), (2, "u", "short"), (9, "u", a), (9, "u", a), (None, "u", a), (None, "u", a), (None, None, None), (7, "u", "once")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
     folder = new_folder(spark, "test")
-    warc.write_warc(df, folder)
+    warc.write_warc(df, folder, null_ids=True)
     records = warc.read_records(spark, folder).cache()
     first = {}
     for i, _, t in pages:

@@ -55,11 +55,12 @@ def first_captures(pages: DataFrame) -> DataFrame:
     return pages.join(firsts, keys, "left")
 
 
-def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
+def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", null_ids: bool = False) -> None:
     """Write three records of every page. A null payload counts as empty and a null address is written as urn:none; each row
-    of a repeated id is a transaction of its own. Rows without an id are refused."""
+    of a repeated id is a transaction of its own. Rows without an id are refused, or with null_ids written as all others are."""
     clean = F.regexp_replace(F.coalesce(F.nullif(F.col(url_col), F.lit("")), F.lit("urn:none")), r"[\r\n]", " ")
-    own = F.coalesce(F.col(id_col).cast("long"), F.raise_error(F.lit("a page without an id")).cast("long"))
+    own = F.col(id_col).cast("long")
+    own = own if null_ids else F.coalesce(own, F.raise_error(F.lit("a page without an id")).cast("long"))
     pages = pages.select(own.alias("id"), clean.alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("body"))
     key, pages = F.col("tid"), first_captures(pages)
     revisit = F.coalesce(F.col("first.id") != F.col("id"), F.lit(False))
@@ -131,7 +132,7 @@ def assemble(records: DataFrame) -> DataFrame:
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
-    write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), folder)
+    write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), folder, null_ids=True)
     return captured_pages(read_records(spark, folder, payload=False))
 
 
