@@ -258,6 +258,42 @@ def test_rest(spark, api):
     assert rest.greatest([{"c": 9}, {"c": "10"}], "c") == "9"
 
 
+class Maintenance(BaseHTTPRequestHandler):
+    """Three pages, each leading on by body and headers; the second is under maintenance, or at /text no JSON."""
+
+    def log_message(self, *a):
+        pass
+
+    def do_GET(self):
+        url = urlsplit(self.path)
+        page = int(parse_qs(url.query).get("c", ["1"])[0])
+        after = None if page == 3 else str(page + 1)
+        body = {"data": [{"id": page}], "next": after, "url": after and f"{url.path}?c={after}", "note": "maintenance" if page == 2 else ""}
+        data = b"maintenance" if url.path == "/text" and page == 2 else json.dumps(body).encode()
+        self.send_response(200)
+        for k, v in {"Content-Length": str(len(data)), **({"X-Next": after, "Link": f'<{url.path}?c={after}>; rel="next"'} if after else {})}.items():
+            self.send_header(k, v)
+        self.end_headers()
+        self.wfile.write(data)
+
+
+def test_rest_goes_on_after_an_ignored_page():
+    server = HTTPServer(("127.0.0.1", 0), Maintenance)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+
+    def get(at, do, *pages, **more):
+        stream = rest.Stream(f"http://127.0.0.1:{server.server_port}", at, records="data", pages=rest.Pages(*pages, **more), actions=[rest.Action(do, contains="maintenance")])
+        return [r["id"] for r in rest.read_pages(stream)]
+
+    kinds = [(("cursor", "c"), {"path": "next"}), (("next_url",), {"path": "url"}), (("header_cursor", "c"), {"path": "X-Next"}), (("link_header",), {})]
+    for pages, more in kinds:
+        assert get("/items", "ignore", *pages, **more) == [1, 3]
+        assert get("/items", "end_stream", *pages, **more) == [1]
+        # Without a body that can be read, only headers lead on.
+        assert get("/text", "ignore", *pages, **more) == ([1, 3] if "header" in pages[0] else [1])
+    server.shutdown()
+
+
 def test_selectors():
     assert rest.select({"a": [{"b": 1}, {"b": 2}]}, rest.parse_selector("a[*].b")) == ([1, 2], False)
     assert rest.select({"a": [{"b": 1}, {"b": 2}]}, rest.parse_selector("a[1].b")) == ([2], False)

@@ -287,6 +287,13 @@ def deep_fill(value, parent: dict):
     return [deep_fill(v, parent) for v in value] if isinstance(value, list) else value
 
 
+def json_or_none(content: bytes):
+    try:
+        return json.loads(content)
+    except ValueError:
+        return None
+
+
 def read_pages(s: Stream, parent: dict | None = None) -> Iterator[dict]:
     """The records of a stream's pages in order; with a parent, of its child stream, parent fields included."""
     s.validate()
@@ -319,10 +326,13 @@ def read_pages(s: Stream, parent: dict | None = None) -> Iterator[dict]:
             action = next((a for a in s.actions if a.meets(status, content)), None)
             if action and action.do == "error":
                 raise RestError(f"status {status} is an error for this stream")
-            if action:  # an ignored page has no cursor to go on from
+            if action and action.do == "end_stream":
                 return
-            answer = json.loads(content)
-            records = records_of(answer, s.records)
+            if action:  # an ignored page has no records, but its body or headers may lead on
+                answer, records = json_or_none(content), []
+            else:
+                answer = json.loads(content)
+                records = records_of(answer, s.records)
             for r in records:
                 if s.include and parent is not None:
                     if not isinstance(r, dict):
