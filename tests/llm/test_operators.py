@@ -251,6 +251,30 @@ def test_language(spark, odd, none):
     assert abs(m.kernel(["abcab"])[0, 1] - len(a & b) / np.sqrt(len(a) * len(b))) < 1e-6
 
 
+def test_language_of_unlabelled_texts(spark):
+    """Without a label und still means a null or letterless text, and only these go."""
+    rows = [(1, "The cat sat", None), (2, None, None), (3, "123 !!", None), (None, "le chat", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_language_model(df)
+    assert got(language_id.identify_language(df, model), "doc_id", "lang_pred", "score") == sorted([(1, None, 0), (2, "und", 0), (3, "und", 0), (None, None, 0)], key=str)
+    assert got(language_id.keep_known(df), "doc_id", "text") == sorted([(1, "The cat sat"), (None, "le chat")], key=str)
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """Languages of long texts only, of null or repeated ids, and beyond the 64 most frequent."""
+    long = [(k, f"{w} " * 3000, w) for k, w in enumerate(("alpha", "bravo") * 8)]
+    df = spark.createDataFrame(long, "doc_id long, text string, lang string")
+    out = language_id.identify_language(df, language_id.fit_language_model(df))
+    assert out.filter("lang = lang_pred").count() == len(long)
+    names = [f"{a}{b}" for a in "abcdefgh" for b in "ijklmnopq"]
+    many = [(1000 * k + j, f"{w} " * 5, w) for k, w in enumerate(names) for j in range(8 if k < 64 else 4)]
+    many += [(None, "zulu " * 5, "none")] + [(50000, "yankee " * 5, "a-again")] * 500
+    df = spark.createDataFrame(many, "doc_id long, text string, lang string")
+    for texts in (language_id.TEXTS, 10):
+        monkeypatch.setattr(language_id, "TEXTS", texts)
+        assert language_id.fit_language_model(df).langs == sorted({*names, "none", "a-again"})
+
+
 def test_toxicity(spark, odd, none):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     net = toxicity.fit_toxicity(docs, labels)

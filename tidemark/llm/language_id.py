@@ -21,8 +21,11 @@ from ._sample import sample_ids
 from ._store import small_batches
 
 SPAN, ALPHABET = 3, 64
-#: Bounds of what is learned from: texts of a language, landmarks in all, and characters of a text (longer ones aren't taken).
+#: Bounds of what is learned from: texts of a language, landmarks in all (one a language at least), and characters of a text
+#: (the middle of longer ones is taken).
 PER_LANGUAGE, LANDMARKS, LONGEST, RIDGE = 300, 96, 8000, 1e-2
+#: Texts in all; with more than 64 languages each has less than PER_LANGUAGE, and none has fewer than one.
+TEXTS = 64 * PER_LANGUAGE
 LETTER = re.compile(r"[^\W\d_]")
 OFFSETS = np.cumsum([0, *(ALPHABET**n for n in range(1, SPAN + 1))])
 
@@ -51,7 +54,7 @@ class Model:
         self.lands = np.zeros((len(self.used), len(chosen)), dtype=np.float32)
         for j, own in enumerate(marks):
             self.lands[np.searchsorted(self.used, own), j] = 1 / np.sqrt(max(1, len(own)))
-        k_nm = self.kernel(texts).astype(np.float64)
+        k_nm = np.concatenate([self.kernel(texts[lo : lo + 1024]) for lo in range(0, len(texts), 1024)]).astype(np.float64)
         k_mm = k_nm[chosen]
         values, vectors = np.linalg.eigh((k_mm + k_mm.T) / 2)
         good = values > 1e-6 * values.max()
@@ -89,10 +92,15 @@ class Model:
             seen[k, at[at >= 0]] = 1 / np.sqrt(max(1, len(own)))
         return seen @ self.lands
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """The language and a score from 0 to 1 of each text; und and 0 where it is null or has no letter."""
-        langs, scores = ["und"] * len(texts), np.zeros(len(texts))
+    def predict(self, texts: list[str | None]) -> tuple[list[str | None], np.ndarray]:
+        """The language and a score from 0 to 1 of each text; und and 0 where it is null or has no letter, None and 0
+        where it has one but no language was learned."""
+        langs: list[str | None] = ["und"] * len(texts)
+        scores = np.zeros(len(texts))
         real = [k for k, t in enumerate(texts) if t and LETTER.search(t)]
+        if not self.langs:
+            for k in real:
+                langs[k] = None
         for lo in range(0, len(real) if self.langs else 0, 256):
             part = real[lo : lo + 256]
             found = self.kernel([texts[k] for k in part]) @ self.weights + self.bias
@@ -109,18 +117,21 @@ def remainder(id_col: str, by: int) -> Column:
 
 
 def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model from at most PER_LANGUAGE documents of each language, taken by a hash of the id."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = rows.filter("text is not null AND lang is not null").filter(remainder("id", 4) != 2).filter(F.length("text") <= LONGEST)
-    keys = [i for i, _ in sample_ids(rows.select("id", F.col("lang").alias("stratum")), lambda _: PER_LANGUAGE)]
-    found = rows.filter(F.col("id").isin(keys)).orderBy("lang", F.xxhash64("id"), "id", "text").limit(2 * len(keys)).collect() if keys else []
+    """A model of every language, from at most PER_LANGUAGE documents of each, taken by a hash of the id, or of the text
+    where the id is null. Of an id that repeats one text of a language is taken."""
+    text = F.col(text_col)
+    rows = docs.filter(remainder(id_col, 4) != 2).filter(text.isNotNull() & F.col(lang_col).isNotNull())
+    middle = F.substring(text, F.greatest(F.lit(0), F.floor((F.length(text) - LONGEST) / 2).cast("int")) + 1, F.lit(LONGEST))
+    rows = rows.select(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)).alias("id"), middle.alias("text"), F.col(lang_col).alias("lang"))
+    keys = [i for i, _ in sample_ids(rows.select("id", F.col("lang").alias("stratum")).distinct(), lambda _: PER_LANGUAGE, TEXTS)]
+    found = rows.filter(F.col("id").isin(keys)).groupBy("lang", "id").agg(F.min("text").alias("text")).orderBy("lang", F.xxhash64("id"), "id").collect() if keys else []
     return Model([r.text for r in found], [r.lang for r in found])
 
 
 def identify_language(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of docs, whole, with lang_pred and score. Null texts, and texts without a letter, are und with score 0;
-    rows that repeat get the same answer; without anything to learn from every text is und. Columns of docs named
-    lang_pred or score are replaced."""
+    rows that repeat get the same answer; without anything to learn from, other texts have lang_pred null and score 0.
+    Columns of docs named lang_pred or score are replaced."""
     own = [c for c in docs.columns if c not in ("lang_pred", "score") or c in (id_col, text_col)]
     rest = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.col(text_col).alias("text"))
     small_batches(docs.sparkSession)
@@ -135,10 +146,10 @@ def identify_language(docs: DataFrame, model: Model, id_col: str = "doc_id", tex
 
 
 def keep_known(docs: DataFrame, learn: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of docs, with its columns, in which a language was found."""
+    """The rows of docs, with its columns, in which a language was found; all that have a letter where none can be learned."""
     model = fit_language_model(docs if learn is None else learn, id_col, text_col, lang_col)
     found = identify_language(docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text")), model, "_row", "_text")
-    return found.filter("lang_pred <> 'und'").select("_row.*")
+    return found.filter("NOT lang_pred <=> 'und'").select("_row.*")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
