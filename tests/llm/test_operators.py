@@ -205,6 +205,19 @@ def test_simhash(spark, odd, none, monkeypatch):
     assert simhash.keep_one(odd).columns == odd.columns and simhash.simhash_components(none).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Tables loaded twice, and groups of null ids only, keep one row of each group."""
+    one, other = " ".join("abcdefghij" * 20), " ".join("klmnopqrst" * 20)
+    rows = [(1, one), (1, one), (2, one), (2, one), (2, one.upper()), (None, other), (None, other), (None, other.upper()), (3, "alone"), (None, one)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("x")).repartition(3)
+    exact = exact_dedup.keep_first(df)
+    assert exact.columns == df.columns
+    assert sorted(((r.doc_id, lower(r.text)) for r in exact.collect()), key=str) == sorted([(2, one), (None, other), (3, "alone")], key=str)
+    near = simhash.keep_one(df)
+    assert near.columns == df.columns
+    assert sorted(((r.doc_id, lower(r.text)) for r in near.collect()), key=str) == sorted([(1, one), (None, other), (3, "alone")], key=str)
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(0, 90)] + [(200, k) for k in range(201, 260)] + [(5, 5), (301, 300), (300, 301)]
     found = dict(got(components.connected_components(spark.createDataFrame(links, "a long, b long")), "node", "component"))

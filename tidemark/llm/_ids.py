@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._store import cut
+
 #: Stands for a null id: the least long.
 NO_ID = -(1 << 63)
 
@@ -25,5 +27,19 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> Dat
     return docs.join(gone, same, "left_anti")
 
 
+def one_of_each(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with one row of each group of kept (id, mark, group), which has a row for each of docs in a group that may have
+    several. Where one has, rows are numbered and cut so that the number stays; other rows of docs are left alone."""
+    again = kept.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if again.isEmpty():
+        return docs
+    members = kept.join(again, "group", "left_semi").select(F.col("id").alias("own_id"), F.col("mark").alias("own_mark"), "group").distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = cut(docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), mark_of(F.col(text_col)).alias("mark"), F.monotonically_increasing_id().alias("number")), "numbered")
+    dealt = rows.join(members, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark"))).select("group", "number")
+    gone = dealt.join(dealt.groupBy("group").agg(F.min("number").alias("least")), "group").filter("number > least").select("number")
+    return rows.join(gone, "number", "left_anti").select("row.*")
+
+
 def unmasked(column: Column) -> Column:
     return F.nullif(column, F.lit(NO_ID))

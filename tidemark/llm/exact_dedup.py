@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._ids import mark_of, without
+from ._ids import mark_of, one_of_each, without
 from ._store import cut
 
 #: Parts that the copies of one text are dealt to before they meet.
@@ -64,10 +64,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with the columns of docs."""
+    """One row of docs, with its columns, of each text: one that has the largest id."""
     rows = docs.select(id_col, text_col, mark_of(F.col(text_col)).alias("mark"))
-    gone = exact_dedup(rows, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).cast("long").alias("id"), "mark")
-    return without(docs, gone, id_col, text_col)
+    found = exact_dedup(rows, id_col, text_col).filter("group_size > 1")
+    found = cut(found.select(F.col(id_col).cast("long").alias("id"), "mark", "kept", F.col("text_sha256").alias("group")), "exact-dedup")
+    left = without(docs, found.filter(~F.col("kept")), id_col, text_col)
+    return one_of_each(left, found.filter("kept"), id_col, text_col)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

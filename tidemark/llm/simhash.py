@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import word_bounds
-from ._ids import mark_of, masked, unmasked, without
+from ._ids import mark_of, masked, one_of_each, unmasked, without
 from ._store import cut, small_batches
 from .components import connected_components
 
@@ -209,20 +209,22 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def with_components(docs: DataFrame, id_col: str, text_col: str, far: int) -> DataFrame:
-    """(id, mark, fp, component_id) of every row."""
+    """(id, mark, fp, component, component_id) of every row; component is a fingerprint."""
     prints = cut(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = cut(prints.groupBy("fp").agg(F.min("id").alias("least")), "fingerprints")
     # A distinct fingerprint is its own name in links.
     found = connected_components(near_links(nodes.select(F.col("fp").alias("id"), "fp"), far))
     grouped = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    return prints.join(grouped.join(least, "component").select("fp", "component_id"), "fp")
+    return prints.join(grouped.join(least, "component").select("fp", "component", "component_id"), "fp")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: int = FAR) -> DataFrame:
-    """The rows of docs, with its columns, whose id is the least of their component."""
+    """One row of docs, with its columns, of each component: one that has the least id."""
     found = with_components(docs.select(id_col, text_col), id_col, text_col, far)
-    return without(docs, found.filter(~F.col("component_id").eqNullSafe(F.col("id"))), id_col, text_col)
+    found = cut(found.select("id", "mark", F.col("component").alias("group"), F.col("component_id").eqNullSafe(F.col("id")).alias("kept")), "simhash-kept")
+    left = without(docs, found.filter(~F.col("kept")), id_col, text_col)
+    return one_of_each(left, found.filter("kept"), id_col, text_col)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
