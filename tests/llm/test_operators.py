@@ -249,6 +249,13 @@ def test_decontamination(spark, odd, none, monkeypatch):
     assert decontamination.contained_items(none, bench).count() == 0 == decontamination.contained_items(df, bench.limit(0)).count()
 
 
+def test_decontamination_by_items_without_id(spark):
+    item = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, f"so {item} and on"), (2, "nothing of it in these words here")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item), (None, "other words that are nowhere at all")], "item_id long, text string")
+    assert [r.doc_id for r in decontamination.decontaminate(docs, bench).collect()] == [2]
+
+
 def test_language(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = language_id.identify_language(docs, language_id.fit_language_model(docs)).filter(language_id.remainder("doc_id", 4) == 2)

@@ -134,8 +134,10 @@ def pairs(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, ite
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with its columns, that hold no item of the benchmark."""
-    return without(docs, pairs(docs, benchmark, id_col, text_col, "item_id", "text", LEAST), id_col, text_col)
+    """The rows of docs, with its columns, that hold no item of the benchmark; items without an id count too. Items of fewer
+    than five words are found only where they are a whole document."""
+    items = benchmark.select(masked(F.col("item_id")).alias("item_id"), "text")
+    return without(docs, pairs(docs, items, id_col, text_col, "item_id", "text", LEAST), id_col, text_col)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
