@@ -134,13 +134,13 @@ def passages(seed):
     return [*rows, (40, "a" * 200), (41, None), (42, "a b " * 60), (None, "a b " * 60), (7, "a b " * 60), (7, "ab ba " * 20)]
 
 
-@pytest.mark.parametrize("hot", [3, 10**6])
-def test_substrings(spark, hot):
-    rows = passages(hot)
+@pytest.mark.parametrize("split", [1, 4, 1000])
+def test_substrings(spark, split):
+    rows = passages(split)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    one = suffix_array.suffix_array_dedup(df, window=24, hot=hot)
+    one = suffix_array.suffix_array_dedup(df, window=24, split=split)
     assert got(one, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_bytes(rows, 24)
-    two = substring_dedup.substring_dedup(df, window=6, hot=hot)
+    two = substring_dedup.substring_dedup(df, window=6, split=split)
     assert got(two, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_words(rows, 6)
 
 
@@ -150,6 +150,76 @@ def test_substrings_of_odd_rows(odd, none):
     assert suffix_array.suffix_array_dedup(none).count() == 0 and substring_dedup.substring_dedup(none).count() == 0
 
 
+def test_substrings_of_null_ids_with_equal_hashes(spark):
+    """Texts without an id are told apart although a 32-bit hash of them is equal."""
+    def mixed(h, k):
+        k = (k * 0xCC9E2D51) & 0xFFFFFFFF
+        k = (((k << 15) | (k >> 17)) * 0x1B873593) & 0xFFFFFFFF
+        h ^= k
+        return (((h << 13) | (h >> 19)) * 5 + 0xE6546B64) & 0xFFFFFFFF
+
+    # Two texts of 256 bytes whose murmur3 hashes meet: their last words are chosen among many.
+    rng, alphabet, seen = random.Random(4), "abcdefghijklmnopqrstuvwxyz", {}
+    heads = ["".join(rng.choice(alphabet) for _ in range(248)) for _ in range(2)]
+    states = []
+    for head in heads:
+        h = 42
+        for k in range(0, 248, 4):
+            h = mixed(h, int.from_bytes(head[k : k + 4].encode(), "little"))
+        states.append(h)
+    pair = None
+    while pair is None:
+        tail = "".join(rng.choice(alphabet) for _ in range(8))
+        which = rng.randint(0, 1)
+        h = states[which]
+        for k in (0, 4):
+            h = mixed(h, int.from_bytes(tail[k : k + 4].encode(), "little"))
+        other = seen.setdefault(h, (which, tail))
+        if other[0] != which:
+            pair = {which: tail, other[0]: other[1]}
+    a, b = heads[0] + pair[0], heads[1] + pair[1]
+    df = spark.createDataFrame([(None, a), (None, b), (1, a)], "doc_id long, text string")
+    assert df.select(F.hash("text").alias("h")).distinct().count() == 1
+    out = {(r.doc_id, r.kept_sha256): r.n_removed for r in suffix_array.suffix_array_dedup(df, texts=False).collect()}
+    assert out[None, hashlib.sha256(b.encode()).hexdigest()] == 0 and sorted(out.values()) == [0, 256, 256]
+
+
+def test_substrings_of_repeated_rows(spark):
+    """Rows that repeat all are copies, and the work on them grows in proportion."""
+    words = " ".join(f"w{k}" for k in range(400))
+    for n in (200, 800):
+        df = spark.createDataFrame([(7, words)] * n + [(9, words), (8, "x " * 30)], "doc_id long, text string").repartition(4)
+        one = {(r.doc_id, r.n_removed) for r in suffix_array.suffix_array_dedup(df, texts=False).collect()}
+        two = {(r.doc_id, r.n_removed) for r in substring_dedup.substring_dedup(df, texts=False).collect()}
+        assert one == {(7, len(words)), (9, len(words)), (8, 0)} and two == {(7, 0), (9, 400), (8, 0)}
+
+
+def test_substrings_of_long_periodic_texts(spark):
+    df = spark.createDataFrame([(1, "a" * 300_000), (2, "b c " * 60_000), (3, "b c " * 20)], "doc_id long, text string")
+    assert got(suffix_array.suffix_array_dedup(df, texts=False), "doc_id", "n_removed", "n_spans") == [(1, 300_000, 1), (2, 240_000, 1), (3, 0, 0)]
+    assert got(substring_dedup.substring_dedup(df, texts=False), "doc_id", "n_words", "n_removed") == [(1, 1, 0), (2, 120_000, 0), (3, 40, 0)]
+
+
+def test_suffix_array():
+    """The array against sorted suffixes, and repeated windows against counting."""
+    rng = random.Random(3)
+    for turn in range(150):
+        width, segments = rng.choice([8, 9, 24, 200]), []
+        for _ in range(rng.randint(1, 8)):
+            if segments and rng.random() < 0.4:
+                segments.append(rng.choice(segments)[rng.randint(0, 5) :])
+            else:
+                segments.append(bytes(rng.choice(b"ab") if rng.random() < 0.9 else 99 for _ in range(rng.randint(0, rng.choice([30, 600])))))
+        text = b"".join(segments)
+        array = suffix_array.suffix_array(text, 64).tolist()
+        cut = [text[k : k + 64] for k in array]
+        assert sorted(array) == [*range(len(text))] and cut == sorted(cut)
+        begin, met = suffix_array.repeated_windows(segments, width)
+        seen = Counter(s[k : k + width] for s in segments for k in range(len(s) - width + 1))
+        for s, at in zip(segments, begin.tolist(), strict=True):
+            assert met[at : at + len(s)].tolist() == [k + width <= len(s) and seen[s[k : k + width]] > 1 for k in range(len(s))], turn
+
+
 def brute_fingerprint(text):
     w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
     h = [xxhash.xxh64_intdigest(b" ".join(w[k : k + 4]), 42) for k in range(max(1, len(w) - 3))] if w else []

@@ -1,10 +1,10 @@
 """Removing words of 50-word windows that a document with a smaller id has, by suffix automata of reference shards.
 
-Windows that can repeat are found and mostly settled as _repeats.py says. What is left is dealt out by route. There the
-segments, in order of id, are the reference: shards of SHARD of them are made into suffix automata, and segments of
-larger ids stream through the automata of all shards for matching statistics; where they reach the window's length, the
-window is covered. The automata of a route's shards go to the task of that route, not to every task: an automaton of
-another route can't match.
+Windows that can repeat are found, and dealt out to tasks, as _repeats.py says. In a route the classes of segments, in
+order of their least id, are the reference: shards of SHARD of them are made into suffix automata, and segments of larger
+ids, of other classes and of their own, stream through the automata of all shards for matching statistics; where these
+reach the window's length, the window is covered. The automata of a route's shards go to the task of that route, not to
+every task: an automaton of another route can't match.
 """
 
 from __future__ import annotations
@@ -19,16 +19,16 @@ from pyspark.sql import functions as F
 
 from ._bytes import gram_hashes, range_hashes, word_bounds
 from ._ids import unmasked
-from ._repeats import Unit, keyed, repeats, spans
+from ._repeats import SPLIT, Unit, keyed, repeats, spans
 from .simhash import whole_groups
 
 WINDOW, GRAM = 50, 8
-#: Segments in an automaton, and segments of a route beyond which its windows are dealt out by digest.
-SHARD, HOT = 256, 2000
+#: Segments in an automaton.
+SHARD = 256
 
 
 class Words(Unit):
-    window, gram = WINDOW, GRAM
+    window, gram, ordered = WINDOW, GRAM, True
 
     def __init__(self, window: int = WINDOW):
         self.window, self.gram = window, max(1, min(GRAM, window // 2))
@@ -43,6 +43,29 @@ class Words(Unit):
     def content(self, units: list[bytes], first: int, stop: int) -> bytes:
         return b" ".join(units[first:stop])
 
+    def units(self, content: bytes) -> list[bytes]:
+        return content.split(b" ")
+
+    def whole(self, pairs: list[tuple[bytes, bytes]]) -> list[bool]:
+        out = []
+        for one, other in pairs:
+            shard, words = Automaton(), other.split(b" ")
+            shard.add(one.split(b" "))
+            out.append(len(shard.reaches(words, self.window)) == len(words) - self.window + 1)
+        return out
+
+    def compare(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in whole_groups(batches, ["route"]):
+            rows = rows[~rows.duplicated(["route", "d1", "d2"])]
+            route = rows["route"].to_numpy()
+            begin = np.flatnonzero(np.append(True, route[1:] != route[:-1]))
+            columns = [rows[c].tolist() for c in ("route", "d1", "d2", "least", "last", "content")]
+            out: list[tuple] = []
+            for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(rows)], strict=True):
+                route_of(self.window, list(zip(*(c[lo:hi] for c in columns), strict=True)), out)
+            if out:
+                yield pd.DataFrame(out, columns=["route", "d1", "d2", "least", "strict", "a", "b"])
+
 
 class Automaton:
     """Suffix automaton of several word sequences."""
@@ -101,50 +124,44 @@ class Automaton:
         return out
 
 
-def compare_words(window: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in whole_groups(batches, ["route"]):
-            route = rows["route"].to_numpy()
-            begin = np.flatnonzero(np.append(True, route[1:] != route[:-1]))
-            columns = [rows[c].tolist() for c in ("id", "mark", "first", "covered", "content")]
-            out: list[tuple[int, int, int, int]] = []
-            for lo, hi in zip(begin.tolist(), [*begin[1:].tolist(), len(rows)], strict=True):
-                route_of(window, list(zip(*(c[lo:hi] for c in columns), strict=True)), out)
-            if out:
-                yield pd.DataFrame(out, columns=["id", "mark", "first", "stop"])
-
-    return run
-
-
-def route_of(window: int, rows: list[tuple[int, int, int, bool, bytes]], out: list[tuple[int, int, int, int]]) -> None:
-    """Adds the covered windows of a route's segments, which come in order of id."""
+def route_of(window: int, rows: list[tuple], out: list[tuple]) -> None:
+    """Adds FOUND of a route's classes (route, d1, d2, least, last, content), which come in order of least."""
     shards: list[Automaton] = []
-    k = filled = 0
-    last = max((i for i, r in enumerate(rows) if not r[3]), default=-1)
-    while k <= last:
+    filled = SHARD
+    k = 0
+    while k < len(rows):
         stop = k
-        while stop < len(rows) and rows[stop][0] == rows[k][0]:
+        while stop < len(rows) and rows[stop][3] == rows[k][3]:
             stop += 1
-        for key, mark, first, covered, content in rows[k:stop]:
-            if not covered and shards:
-                words = content.split(b" ")
-                hits = sorted({x for shard in shards for x in shard.reaches(words, window)})
-                for x in hits:
-                    if out and out[-1][:2] == (key, mark) and out[-1][3] == first + x:
-                        out[-1] = (key, mark, out[-1][2], first + x + 1)
-                    else:
-                        out.append((key, mark, first + x, first + x + 1))
-        if stop <= last:
-            for row in rows[k:stop]:
-                if not shards or filled == SHARD:
+        words = [row[5].split(b" ") for row in rows[k:stop]]
+        if shards:
+            for row, own in zip(rows[k:stop], words, strict=True):
+                stretches(row[:4], True, shards, own, window, out)
+        if stop < len(rows) or any(row[4] > row[3] for row in rows[k:stop]):
+            for own in words:
+                if filled == SHARD:
                     shards.append(Automaton())
                     filled = 0
-                shards[-1].add(row[4].split(b" "))
+                shards[-1].add(own)
                 filled += 1
+            for row, own in zip(rows[k:stop], words, strict=True):
+                if row[4] > row[3]:  # members of larger ids stream through it too
+                    stretches(row[:4], False, shards, own, window, out)
         k = stop
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, texts: bool = True, hot: int = HOT) -> DataFrame:
+def stretches(key: tuple, strict: bool, shards: list[Automaton], words: list[bytes], window: int, out: list[tuple]) -> None:
+    """Adds the stretches of windows of words that the shards hold."""
+    hits = sorted({x for shard in shards for x in shard.reaches(words, window)})
+    begin = None
+    for k, x in enumerate(hits):
+        begin = x if begin is None else begin
+        if k + 1 == len(hits) or hits[k + 1] > x + 1:
+            out.append((*key, strict, begin, x + 1))
+            begin = None
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, texts: bool = True, split: int = SPLIT) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256, removed, kept) of every row.
 
     Each word covered by a window whose words also start in a document with a smaller id goes. Null texts have no words.
@@ -152,7 +169,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives an empty result. removed holds the spans of words and kept the words left, joined by a space (texts=False
     leaves both out)."""
     own = keyed(docs, id_col, text_col)
-    found = repeats(own, Words(window), compare_words(window), True, hot, "word-repeats")
+    found = repeats(own, Words(window), split, "word-repeats")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -168,7 +185,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_sha256", "removed", "kept"][: 6 if texts else 4])
 
     kind = "id long, n_words long, n_removed long, kept_sha256 string" + ", removed array<array<long>>, kept string" * texts
-    return own.join(found, ["id", "mark"], "left").mapInPandas(run, kind).withColumn("id", unmasked(F.col("id"))).withColumnRenamed("id", id_col)
+    return own.join(found, ["id", "m1", "m2"], "left").mapInPandas(run, kind).withColumn("id", unmasked(F.col("id"))).withColumnRenamed("id", id_col)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
