@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.partitions import encode_partition, encode_value, murmur3
-from tidemark.functions.types import align, apply_hints, evolve, is_widening, survey
+from tidemark.functions.types import align, apply_hints, evolve, hinted, is_widening, survey
 from tidemark.operators import changes, incremental, shred
 from tidemark.plans.commit import Table
 from tidemark.plans.options import TableOptions
@@ -126,12 +126,14 @@ def test_resume(spark):
 def test_files(spark, tmp_path):
     plain, schema = tmp_path / "a.jsonl", T.StructType([T.StructField("id", T.LongType())])
     plain.write_text('{"id":1}\n\n{"id":2}\n')
-    df, state = files.read_jsonl(spark, [str(plain)], schema)
+    df, settle = files.read_jsonl(spark, [str(plain)], schema)
     assert df.count() == 2
+    state = settle()
     with plain.open("a") as f:
         f.write('{"id":3}\n')
-    df, state = files.read_jsonl(spark, [str(plain)], schema, state)
+    df, settle = files.read_jsonl(spark, [str(plain)], schema, state)
     assert [r.id for r in df.collect()] == [3]
+    state = settle()
     assert files.read_jsonl(spark, [str(plain)], schema, state)[0].count() == 0
     plain.write_text('{"id":9}\n\n{"id":2}\n{"id":3}\n')
     with pytest.raises(files.SourceError, match="rewritten"):
@@ -139,12 +141,102 @@ def test_files(spark, tmp_path):
     plain.write_text('{"id":1}\n')
     with pytest.raises(files.SourceError, match="shrank"):
         files.read_jsonl(spark, [str(plain)], schema, state)
+    plain.write_text('{"id":7}\n\n{"id":2}\n{"id":3}\n{"id":4}\n')
+    with pytest.raises(files.SourceError, match="bytes before"):
+        files.read_jsonl(spark, [str(plain)], schema, state)
     (tmp_path / "b.jsonl.gz").write_bytes(b'{"id":1}\n')
     with pytest.raises(files.SourceError, match="named .gz"):
         files.read_jsonl(spark, [str(tmp_path / "b.jsonl.gz")], schema)
-    assert files.list_files(str(tmp_path / "none*")) == []
-    with pytest.raises(files.SourceError, match="missing"):
-        files.list_files(str(tmp_path / "none"))
+    with pytest.raises(files.SourceError, match="newer version"):
+        files.read_jsonl(spark, [str(plain)], schema, {"version": 99, "files": {}})
+
+
+def test_listing(spark, tmp_path):
+    for name in ("a1.x", "a2.x", ".a3.x", "b[1].x", "d/a4.x", "d/.e/a5.x"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("1")
+    found = lambda p: [x.removeprefix(f"{tmp_path}/") for x in files.list_files(spark, f"{tmp_path}/{p}")]
+    assert found("a*.x") == ["a1.x", "a2.x"] and found("**/a*.x") == ["a1.x", "a2.x", "d/a4.x"]
+    assert found("b[1].x") == ["b[1].x"] and found("none*") == []
+    assert files.list_files(spark, f"file://{tmp_path}/a?.x") == [f"file://{tmp_path}/a{k}.x" for k in (1, 2)]
+    for name, why in (("none", "missing"), ("d", "folder")):
+        with pytest.raises(files.SourceError, match=why):
+            found(name)
+
+
+def test_unterminated_line(spark, tmp_path):
+    """The last line is read without its end; growth after it is refused, as a row would be lost or read in part."""
+    path, schema = tmp_path / "a.jsonl", T.StructType([T.StructField("a", T.LongType())])
+    path.write_text('{"a":1}\n{"a":2}')
+    df, settle = files.read_jsonl(spark, [str(path)], schema)
+    assert sorted(r.a for r in df.collect()) == [1, 2]
+    state = settle()
+    assert files.read_jsonl(spark, [str(path)], schema, state)[0].count() == 0
+    with path.open("a") as f:
+        f.write('{"a":3}\n{"a":4}\n')
+    with pytest.raises(files.SourceError, match="wasn't ended"):
+        files.read_jsonl(spark, [str(path)], schema, state)
+
+
+def test_growth_while_reading(spark, tmp_path):
+    path, schema = tmp_path / "a.jsonl", T.StructType([T.StructField("a", T.LongType())])
+    path.write_text('{"a":1}\n{"a":2}\n')
+    df, settle = files.read_jsonl(spark, [str(path)], schema)
+    with path.open("a") as f:
+        f.write('{"a":3}\n')
+    with pytest.raises(files.SourceError, match="while it was read"):  # what Spark's reader saw isn't known
+        settle()
+    df, settle = files.read_jsonl(spark, [str(path)], schema, growing=True)
+    with path.open("a") as f:
+        f.write('{"a":4}\n{"a":5')
+    assert sorted(r.a for r in df.collect()) == [1, 2, 3]
+    state = settle()
+    with path.open("a") as f:
+        f.write("}\n")
+    df, settle = files.read_jsonl(spark, [str(path)], schema, state)
+    with path.open("a") as f:
+        f.write('{"a":6}\n')
+    assert sorted(r.a for r in df.collect()) == [4, 5]
+    df, _ = files.read_jsonl(spark, [str(path)], schema, settle())
+    assert [r.a for r in df.collect()] == [6]
+
+
+def test_malformed_lines_name_their_place(spark, tmp_path):
+    path, schema = tmp_path / "a.jsonl", T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    path.write_text('{"a":1}\n{"a":\n')
+    for growing, where in ((False, "a.jsonl"), (True, "at byte 8")):
+        df, _ = files.read_jsonl(spark, [str(path)], schema, growing=growing)
+        with pytest.raises(Exception, match=f"malformed line in .*{where}"):
+            df.select("b").collect()
+
+
+def test_parquet_row_groups(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "a.parquet")
+
+    def write(*groups):
+        with pq.ParquetWriter(path, pa.schema([("a", pa.int64())])) as w:
+            for g in groups:
+                w.write_table(pa.table({"a": g}))
+
+    write([1, 2], [3])
+    df, settle = files.read_parquet(spark, [path])
+    assert sorted(r.a for r in df.collect()) == [1, 2, 3]
+    state = settle()
+    assert files.read_parquet(spark, [path], state)[0].count() == 0
+    write([1, 2], [3], [4, 5])
+    df, settle = files.read_parquet(spark, [path], state)
+    assert sorted(r.a for r in df.collect()) == [4, 5]
+    state = settle()
+    write([1, 2, 3], [3], [4, 5], [6])
+    with pytest.raises(files.SourceError, match="row groups changed"):
+        files.read_parquet(spark, [path], state)
+    with pytest.raises(files.SourceError, match="own types"):
+        files.read_parquet(spark, [path], hints={"a": "utf8"})
+    none, _ = files.read_parquet(spark, [], schema=T.StructType([T.StructField("a", T.LongType())]))
+    assert none.columns == ["a"] and none.count() == 0
 
 
 def test_csv(spark, tmp_path):
@@ -159,6 +251,24 @@ def test_csv(spark, tmp_path):
     (tmp_path / "ragged.csv").write_text("a,b\n1\n")
     with pytest.raises(Exception):
         files.read_csv(spark, [str(tmp_path / "ragged.csv")])[0].collect()
+    (tmp_path / "other.csv").write_text("a,c\n1,2\n")
+    with pytest.raises(files.SourceError, match="its columns are"):
+        files.read_csv(spark, [str(tmp_path / "ragged.csv"), str(tmp_path / "other.csv")])
+    with pytest.raises(Exception, match="path|o.csv.gz, column note: a; b isn't int64"):
+        files.read_csv(spark, [str(path)], delimiter=";", hints={"note": "int64"})[0].collect()
+    assert files.read_csv(spark, [], columns=["a", "b"])[0].columns == ["a", "b"]
+
+
+def test_hints(spark):
+    good = {"uuid": "6F9619FF-8B86-D011-B42D-00C04FC964FF", "json": '{"a":1}', "time": "12:30:01.5", "binary": "00ff", "int64": "+7", "float64": "1e3", "bool": "true", "decimal(5,2)": "12.30", "date": "2024-01-31"}
+    want = {"uuid": "6f9619ff-8b86-d011-b42d-00c04fc964ff", "time": (12 * 60 + 30) * 60_000_000 + 1_500_000, "binary": b"\x00\xff", "int64": 7, "float64": 1000.0, "bool": True}
+    bad = {"uuid": "6F96", "json": "{", "time": "25:00", "binary": "0", "int64": "1.5", "float64": "nan", "bool": "1", "decimal(5,2)": "12.345", "date": "2024-02-31"}
+    for hint, text in good.items():
+        df = spark.createDataFrame([(text,), (None,)], "v string").select(hinted(F.col("v"), hint).alias("v"))
+        got = [r.v for r in df.collect()]
+        assert got[1] is None and (hint not in want or got[0] == want[hint]), hint
+        with pytest.raises(Exception, match="isn't"):
+            spark.createDataFrame([(bad[hint],)], "v string").select(hinted(F.col("v"), hint).alias("v")).collect()
 
 
 def test_types(spark):

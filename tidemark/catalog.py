@@ -288,10 +288,15 @@ def scd2_as_of(s, d):
     return scd2.as_of(scd2_change(s, d), "2024-07-01 00:00:00")
 
 
-@query("SELECT CAST(0 AS BIGINT) AS n")
+@query(f"SELECT c_custkey, TIMESTAMP '{B1}' AS _valid_from FROM customer WHERE c_custkey % 4 = 0")
 def scd2_overlap_check(s, d):
-    third = scd2.scd2_merge(scd2_change(s, d), customers(s, d), ["c_custkey"], "c_custkey", B2)
-    return scd2.overlaps(third, ["c_custkey"]).agg(F.count(F.lit(1)).alias("n"))
+    """A sound history of three rounds has no overlap; second versions that begin before the first ones end are found."""
+    sound = scd2.scd2_merge(scd2_change(s, d), customers(s, d), ["c_custkey"], "c_custkey", B2)
+    first = round_one(s, d)
+    late = first.filter("c_custkey % 4 = 0").withColumn("_valid_from", F.lit(B1).cast("timestamp_ntz")).withColumn("_valid_to", F.lit(None).cast("timestamp_ntz"))
+    ended = first.withColumn("_valid_to", F.when(F.col("c_custkey") % 2 == 0, F.lit(B2).cast("timestamp_ntz")))
+    bad = scd2.overlaps(sound, ["c_custkey"]).unionByName(scd2.overlaps(ended.unionByName(late), ["c_custkey"]))
+    return bad.select("c_custkey", "_valid_from")
 
 
 # Windows of incremental reads
@@ -304,7 +309,7 @@ for _name, _sql, _w in [
     ("window_end_inclusive", "event_id >= 100 AND event_id <= 700", incremental.Window("event_id", "max", 100, True, 700, True)),
     ("window_end_exclusive", "event_id >= 100 AND event_id < 700", incremental.Window("event_id", "max", 100, True, 700, False)),
     ("window_min_end", "event_id <= 700 AND event_id > 100", incremental.Window("event_id", "min", 700, True, 100, False)),
-    ("window_lag", f"ts >= TIMESTAMP '{W}' - INTERVAL 2 DAY", incremental.Window("ts", "max", W, False, lag="'2' DAY")),
+    ("window_lag", f"ts >= TIMESTAMP '{W}' - INTERVAL 2 DAY", incremental.Window("ts", "max", W, False, lag="2 days")),
     ("window_lag_integer", "event_id >= 500 - 25", incremental.Window("event_id", "max", 500, False, lag=25)),
 ]:
 
@@ -334,39 +339,11 @@ def clicks(s, d, day):
     return events(s, d).filter("event_type = 'click'").selectExpr("event_id", "user_id", "CAST(ts AS DATE) AS day").filter(F.col("day") == F.lit(day))
 
 
-def _last_day(s, d):
-    return incremental.watermark(days(s, d), "day").first()["watermark"]
-
-
-@query(f"SELECT * FROM {DAY} WHERE day >= {TOP} AND event_id NOT IN (SELECT event_id FROM events WHERE event_type = 'click')")
-def boundary_dedup_pk(s, d):
-    df, top = days(s, d), _last_day(s, d)
-    seen = clicks(s, d, top).select(incremental.row_key(df, ["event_id"]).alias("row_key"))
-    return incremental.drop_seen(incremental.window(df, incremental.Window("day", "max", top)), "day", ["event_id"], top, seen)
-
-
-@query(f"SELECT user_id, day FROM {DAY} WHERE day >= {TOP} AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'click' AND CAST(ts AS DATE) = {TOP})")
-def boundary_dedup_rowhash(s, d):
-    df, top = days(s, d).select("user_id", "day"), _last_day(s, d)
-    seen = clicks(s, d, top).select("user_id", "day").select(incremental.row_key(df, None).alias("row_key")).distinct()
-    return incremental.drop_seen(incremental.window(df, incremental.Window("day", "max", top)), "day", None, top, seen)
-
-
 @query(f"SELECT * FROM {DAY} WHERE day > DATE '2024-01-10' OR (day = DATE '2024-01-10' AND event_id > 300)")
 def keyset_resume(s, d):
     return incremental.keyset_resume(days(s, d), "day", "event_id", "2024-01-10", 300)
 
 
-@query(f"SELECT event_id, user_id, day FROM {DAY} WHERE day = {TOP}")
-def watermark_state(s, d):
-    return incremental.boundary_rows(days(s, d), "day")
-
-
-@query("SELECT max(CAST(event_id AS VARCHAR)) AS watermark FROM events")
-def rest_cursor_max(s, d):
-    return incremental.text_watermark(events(s, d), "event_id")
-
-
 # Types
 CELLS = "CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS {t}) END AS a, CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS {t}) || '.5' ELSE CAST(event_id AS {t}) END AS b, CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS c, CASE WHEN event_id % 2 = 0 THEN 'true' ELSE '1' END AS d, event_type AS e, CAST(NULL AS {t}) AS f"
 _SHAPE = "CASE WHEN bool_or(k = 'text') OR (bool_or(k = 'bool') AND bool_or(k IN ('int', 'float'))) THEN 'text' WHEN bool_or(k = 'bool') THEN 'bool' WHEN bool_or(k = 'float') THEN 'float' WHEN bool_or(k = 'int') THEN 'int' ELSE 'text' END"
@@ -444,14 +421,6 @@ def replace_once_per_load(s, d):
     return out
 
 
-@query("SELECT event_id FROM events")
-def replay_noop(s, d):
-    rows = events(s, d).select("event_id")
-    t = commit.Table("t", "append")
-    again = commit.run_commit(commit.plan_commit([t], commit.Facts("l", 0, committed=True)), [t], lambda _: rows, lambda _: rows, "event_id")
-    return again.get("t", rows)
-
-
 @query(f"{UNTOUCHED} UNION ALL SELECT {E} FROM {LAST(STAGE)}")
 def commit_merge(s, d):
     t = commit.Table("t", "merge", ("user_id",), TableOptions(strategy="upsert"))
@@ -460,18 +429,6 @@ def commit_merge(s, d):
 
 
 # Nested records
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def json_selector(s, d):
-    return table(s, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
-
-
-@query("SELECT event_id, i AS pos, CAST(json_extract(props, '$.k') AS BIGINT) + i AS k FROM events, (SELECT unnest([0, 1]) AS i)")
-def json_explode(s, d):
-    body = F.concat(F.lit('{"items":['), F.col("props"), F.lit(","), F.to_json(F.struct((F.get_json_object("props", "$.k").cast("long") + 1).alias("k"))), F.lit("]}"))
-    items = F.from_json(body, "items array<struct<k: long>>")["items"]
-    return table(s, d, "events").select("event_id", F.posexplode(items).alias("pos", "x")).select("event_id", "pos", F.col("x.k").alias("k"))
-
-
 def nested(s, d):
     o = table(s, d, "orders").select("o_orderkey", F.struct("o_orderstatus", F.struct(F.col("o_custkey").alias("key")).alias("customer")).alias("info"))
     items = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("items"))
@@ -557,3 +514,6 @@ def cdc_to_merge(s, d):
 def cdc_ack_floor(s, d):
     per_stream = events(s, d).groupBy((F.col("user_id") % 4).alias("stream")).agg(F.max("event_id").alias("cursor"))
     return changes.acknowledge(per_stream)
+
+
+from . import catalog_io  # noqa: E402, F401  the queries of sources and destinations

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -55,6 +56,30 @@ def murmur3(data: bytes) -> int:
     return h ^ h >> 16
 
 
+def murmur3_columns(words: list[np.ndarray], length: int) -> np.ndarray:
+    """murmur3() of many values of the same length at once: words are their 4-byte blocks, the last one with the bytes left."""
+    rot = lambda x, r: (x << np.uint32(r)) | (x >> np.uint32(32 - r))
+    h = np.zeros(len(words[0]) if words else 0, dtype=np.uint32)
+    for i, k in enumerate(words):
+        k = rot(k * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+        h = rot(h ^ k, 13) * np.uint32(5) + np.uint32(0xE6546B64) if 4 * i + 4 <= length else h ^ k
+    h ^= np.uint32(length)
+    h = (h ^ h >> np.uint32(16)) * np.uint32(0x85EBCA6B)
+    h = (h ^ h >> np.uint32(13)) * np.uint32(0xC2B2AE35)
+    return h ^ h >> np.uint32(16)
+
+
+def hashes(values: list[bytes]) -> np.ndarray:
+    """murmur3() of each value, those of a length together."""
+    sizes, out = np.array([len(v) for v in values]), np.zeros(len(values), dtype=np.uint32)
+    for n in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == n)
+        wide = -(-n // 4) * 4
+        block = np.frombuffer(b"".join(values[k].ljust(wide, b"\0") for k in at.tolist()), dtype="<u4").reshape(len(at), wide // 4)
+        out[at] = murmur3_columns([np.ascontiguousarray(block[:, i]) for i in range(wide // 4)], n) if n else murmur3(b"")
+    return out
+
+
 def bucket(column: Column, n: int) -> Column:
     """The hash bucket of integers (as 8 little-endian bytes) or strings (UTF-8); null stays null."""
     if n < 1:
@@ -62,8 +87,17 @@ def bucket(column: Column, n: int) -> Column:
 
     @F.pandas_udf("int")
     def run(values: pd.Series) -> pd.Series:
-        one = lambda v: (murmur3(v.encode() if isinstance(v, str) else struct.pack("<q", int(v))) & 0x7FFFFFFF) % n
-        return values.map(lambda v: None if v is None or v != v else one(v)).astype("Int32")
+        out = pd.Series(pd.NA, index=values.index, dtype="Int32")
+        there = values.notna()
+        real = values[there]
+        if len(real):
+            if isinstance(real.iloc[0], str):
+                found = hashes([v.encode() for v in real])
+            else:
+                whole = real.to_numpy().astype("<i8").view("<u4").reshape(-1, 2)
+                found = murmur3_columns([np.ascontiguousarray(whole[:, i]) for i in (0, 1)], 8)
+            out[there] = ((found & np.uint32(0x7FFFFFFF)) % np.uint32(n)).astype(np.int32)
+        return out
 
     return run(column)
 

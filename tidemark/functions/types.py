@@ -70,6 +70,41 @@ def apply_hints(df: DataFrame, hints: dict[str, str]) -> DataFrame:
     return df
 
 
+def hinted(cell: Column, hint: str, where: Column | None = None) -> Column:
+    """A cell of text in the type of a hint. What doesn't fit fails, with where before the value; nothing is guessed or rounded."""
+    where = F.lit("") if where is None else where
+    kind = hint_type(hint)
+    plain = F.trim(cell)
+    number = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+    if hint == "utf8":
+        return cell
+    if isinstance(kind, T.DecimalType):
+        value, fits = plain.try_cast(kind), ~loses_digits(cell, kind.precision, kind.scale)
+    elif hint == "uuid":
+        value, fits = F.lower(plain), plain.rlike(r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
+    elif hint == "json":
+        value, fits = cell, F.try_parse_json(cell).isNotNull()
+    elif hint == "time":  # microseconds of the day
+        part = lambda k: F.regexp_extract(plain, r"^(\d{2}):(\d{2})(?::(\d{2})(?:\.(\d{1,6}))?)?$", k)
+        whole = lambda k: F.coalesce(part(k).try_cast("long"), F.lit(0))
+        value = ((whole(1) * 60 + whole(2)) * 60 + whole(3)) * 1_000_000 + F.rpad(F.coalesce(part(4), F.lit("")), 6, "0").cast("long")
+        fits = plain.rlike(r"^([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,6})?)?$")
+    elif hint == "binary":
+        value, fits = F.unhex(plain), plain.rlike(r"^([0-9a-fA-F]{2})*$")
+    elif hint == "int64":
+        value, fits = F.regexp_replace(plain, r"^\+", "").try_cast("bigint"), plain.rlike(r"^[+-]?\d+$")
+    elif hint == "float64":
+        value, fits = plain.try_cast("double"), plain.rlike(number)
+        fits = fits & (F.abs(value) < float("inf"))
+    elif hint == "bool":
+        value, fits = plain == "true", plain.isin("true", "false")
+    else:
+        value, fits = plain.try_cast(kind), F.lit(True)
+    fits = F.coalesce(fits & value.isNotNull(), F.lit(False))
+    bad = F.raise_error(F.concat(where, cell, F.lit(f" isn't {hint}"))).cast(kind)
+    return F.when(cell.isNull(), F.lit(None).cast(kind)).when(fits, value.cast(kind)).otherwise(bad)
+
+
 def loses_digits(text: Column, precision: int, scale: int) -> Column:
     """Whether a number's text doesn't fit decimal(precision, scale) in full."""
     plain = F.regexp_replace(F.trim(text), r"^[+-]", "")
@@ -149,3 +184,21 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
         else:
             raise ValueError(f"required column {f.name} is missing")
     return df.select(*out)
+
+
+def check_session(table: str, before: list[str] | None, now: list[str]) -> None:
+    """Within a load a table's columns stay, in their order; new ones come last. Anything else is two streams on one table."""
+    if before is None:
+        return
+    if lost := [c for c in before if c not in now]:
+        raise ValueError(f"{table}: {', '.join(lost)} were delivered before in this load and are missing now")
+    for k, (was, c) in enumerate(zip(before, now, strict=False)):
+        if was != c:
+            raise ValueError(f"{table}: column {k} was {was} before in this load and is {c} now")
+
+
+def check_case(table: str, names: list[str]) -> None:
+    """Names that differ by case alone are refused: a reader without case can't tell them apart."""
+    lower = [n.lower() for n in names]
+    if twice := sorted({n for n in names if lower.count(n.lower()) > 1}):
+        raise ValueError(f"{table}: {', '.join(twice)} differ by case alone")

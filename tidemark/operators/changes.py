@@ -7,10 +7,74 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..names import DELETED
 
 
+class FeedError(ValueError):
+    """Names the table or position and what is wrong with it."""
+
+
+def identity(table: str, columns: list[str], declared: list[str], primary: list[str] | None = None, index: list[str] | None = None, full: bool = False) -> list[str]:
+    """The columns by which a log tells rows of the table: those of a chosen index, all (full), or the primary key. The
+    declared merge key must be the same columns, unless all are told."""
+    found = list(index) if index is not None else list(columns) if full else list(primary or [])
+    if not found:
+        raise FeedError(f"{table} has no primary key: tell rows by a unique index, or by all columns")
+    if lost := [c for c in [*found, *declared] if c not in columns]:
+        raise FeedError(f"{table}: key column {lost[0]} isn't read")
+    if not declared:
+        raise FeedError(f"{table}: a change feed is merged, and no key is declared")
+    if not full and sorted(found) != sorted(declared):
+        raise FeedError(f"{table}: rows are told by {', '.join(found)}, but the declared key is {', '.join(declared)}")
+    return found
+
+
+def check_feed(table: str, cursor: int | None, first: int | None, created: int | None = None, holder: str | None = None) -> None:
+    """Whether a feed still has all after cursor. first: the oldest position it keeps (None: it is lost); created: where it
+    began, if it was made anew; holder: who else reads it."""
+    if holder is not None:
+        raise FeedError(f"{table}: the feed is read by {holder}")
+    if cursor is None:
+        return
+    if first is None:
+        raise FeedError(f"{table}: the feed is gone; changes after {cursor} are lost, so take a new snapshot")
+    if created is not None and created > cursor:
+        raise FeedError(f"{table}: the feed was made anew at {created}, after {cursor}; take a new snapshot")
+    if first > cursor + 1:
+        raise FeedError(f"{table}: changes from {cursor + 1} to {first - 1} are gone; take a new snapshot")
+
+
+def check_columns(log: DataFrame, wanted: T.StructType) -> None:
+    """Fail where the log's rows lack a column that the table has: it vanished at the source."""
+    have = log.schema["after"].dataType.fieldNames()
+    if lost := [f.name for f in wanted.fields if f.name not in have]:
+        raise FeedError(f"column {', '.join(lost)} vanished from the feed")
+
+
+def lag_report(cursors: DataFrame, commits: DataFrame, time: str | None = None) -> DataFrame:
+    """(stream, cursor, behind, seconds): how far each stream's cursor is behind the last commit (lsn), in positions, and in
+    seconds where commits tell a time. Two small tables; the last commit is one row."""
+    seconds = F.unix_micros(F.max(F.col(time).cast("timestamp"))) if time else F.lit(None).cast("long")
+    last = commits.agg(F.max("lsn").alias("_last"), seconds.alias("_then"))
+    rows = cursors.join(F.broadcast(last))
+    if time:
+        at = commits.groupBy("lsn").agg(F.unix_micros(F.max(F.col(time).cast("timestamp"))).alias("_at"))
+        rows = rows.join(at, rows["cursor"] == at["lsn"], "left").drop("lsn")
+    else:
+        rows = rows.withColumn("_at", F.lit(None).cast("long"))
+    behind = F.greatest(F.lit(0), F.col("_last") - F.coalesce("cursor", F.lit(0)))
+    return rows.select("stream", "cursor", behind.alias("behind"), ((F.col("_then") - F.col("_at")) / 1e6).alias("seconds"))
+
+
+def handover(snapshot: DataFrame, applied: DataFrame, deleted: str = DELETED) -> DataFrame:
+    """Rows of a snapshot, taken after the feed was opened, and then its changes, to be merged in the order of (lsn, seq): what
+    is in both is applied twice, and the later wins."""
+    first = snapshot.select(F.lit(-1).cast(applied.schema["lsn"].dataType).alias("lsn"), F.lit(0).cast(applied.schema["seq"].dataType).alias("seq"), *snapshot.columns, F.lit(None).cast("boolean").alias(deleted))
+    return first.unionByName(applied)
+
+
 def committed(log: DataFrame, commits: DataFrame, since=None, until=None) -> DataFrame:
     """Changes of transactions in commits (txn, lsn) after since and up to until; open transactions have no commit and wait."""
     done = commits
@@ -35,7 +99,14 @@ def apply_changes(log: DataFrame, key: list[str], deleted: str = DELETED, unchan
     value = lambda c: F.when(F.array_contains(unchanged, c), F.col(f"before.{c}")).otherwise(F.col(f"after.{c}")) if unchanged is not None else F.col(f"after.{c}")
     come = F.struct(*[value(c).alias(c) for c in columns], F.lit(None).cast("boolean").alias(deleted))
     bad = F.raise_error(F.concat(F.lit("change that can't be applied: "), F.col("op"))).cast("array<int>").isNull()
-    keyless = (F.col("op") == "D") & F.coalesce(F.col(f"before.{key[0]}").isNull(), F.lit(True))
+    keyless = F.lit(False)
+    for c in key:
+        keyless = keyless | F.coalesce(F.col(f"before.{c}").isNull(), F.lit(True))
+    keyless = (F.col("op") == "D") & keyless
+    if unchanged is not None:  # the old image must tell what was left out
+        blind = F.coalesce(F.size(unchanged), F.lit(0)) > 0
+        blind = blind & (F.col("before").isNull() | F.coalesce(F.exists(unchanged, lambda c: ~c.isin(*columns)), F.lit(False)))
+        keyless = keyless | blind
     rows = F.when((F.col("op") == "T") | keyless, F.when(bad, F.array(gone))).when(F.col("op") == "D", F.array(gone)).when(moved, F.array(gone, come)).otherwise(F.array(come))
     return log.select("lsn", "seq", F.posexplode(rows).alias("_step", "_row")).select("lsn", (F.col("seq") * 2 + F.col("_step")).alias("seq"), "_row.*")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ CURSOR_TYPES = (T.IntegralType, T.DecimalType, T.StringType, T.TimestampType, T.
 
 @dataclass(frozen=True)
 class Window:
-    """What a run reads. lower and upper are typed values; lag is a day-time interval as text, or a number."""
+    """What a run reads. lower and upper are typed values; lag is a span of time as text ("2 days 6 hours"), or a number."""
 
     column: str
     direction: str = "max"
@@ -26,12 +28,29 @@ class Window:
     lag: object = None
 
 
-@dataclass
+@dataclass(frozen=True)
 class State:
-    """The cursor's high-water mark and the keys of the rows that have it."""
+    """The cursor's high-water mark, and the folder of a table with the keys (row_key) of the rows that have it."""
 
     watermark: object = None
-    keys: list[tuple] = field(default_factory=list)
+    keys: str | None = None
+
+
+_SPAN = re.compile(r"\s*(\d+(?:\.\d+)?)\s*(day|hour|minute|second)s?\s*")
+
+
+def span(text: str) -> Column:
+    """A day-time interval from text such as 2 days 6 hours; parsed, never handed to SQL."""
+    parts, at = dict.fromkeys(("day", "hour", "minute", "second"), Decimal(0)), 0
+    while at < len(text):
+        found = _SPAN.match(text, at)
+        if found is None:
+            raise ValueError(f"{text} isn't a span of days, hours, minutes and seconds")
+        parts[found[2]] += Decimal(found[1])
+        at = found.end()
+    if not at or any(v % 1 for k, v in parts.items() if k != "second"):
+        raise ValueError(f"{text} isn't a span of days, hours, minutes and seconds")
+    return F.make_dt_interval(*[F.lit(int(parts[k])) for k in ("day", "hour", "minute")], F.lit(parts["second"]).cast("decimal(18,6)"))
 
 
 def check_cursor(df: DataFrame, column: str) -> None:
@@ -55,7 +74,7 @@ def window(df: DataFrame, w: Window) -> DataFrame:
     if w.lower is not None:
         low, closed = bound(df, w.column, w.lower), w.lower_closed or w.lag is not None
         if w.lag is not None:
-            by = F.expr(f"INTERVAL {w.lag}") if isinstance(w.lag, str) else F.lit(w.lag)
+            by = span(w.lag) if isinstance(w.lag, str) else F.lit(w.lag)
             low = (low - by if up else low + by).cast(df.schema[w.column].dataType)
         keep = (c >= low if closed else c > low) if up else (c <= low if closed else c < low)
     if w.upper is not None:
@@ -81,23 +100,24 @@ def row_key(df: DataFrame, key: list[str] | None) -> Column:
 
 
 def drop_seen(df: DataFrame, column: str, key: list[str] | None, watermark, seen: DataFrame) -> DataFrame:
-    """Without the rows at the watermark whose key, as row_key() gives it, is in seen (column row_key)."""
-    at = F.col(column) == bound(df, column, watermark)
-    marked = df.withColumn("_key", F.when(at, row_key(df, key)))
-    return marked.join(seen.select(F.col("row_key").alias("_seen")), F.col("_key").eqNullSafe(F.col("_seen")) & F.col("_key").isNotNull(), "left_anti").drop("_key")
+    """Without the rows at the watermark whose key, as row_key() gives it, is in seen (column row_key). Only rows at the
+    watermark are joined; those past it aren't shuffled."""
+    at = F.coalesce(F.col(column) == bound(df, column, watermark), F.lit(False))
+    there = df.filter(at).withColumn("_key", row_key(df, key))
+    left = there.join(seen.select(F.col("row_key").alias("_seen")), F.col("_key").eqNullSafe(F.col("_seen")), "left_anti").drop("_key")
+    return df.filter(~at).unionByName(left)
 
 
 def resume(df: DataFrame, w: Window, state: State | None, key: list[str] | None = None) -> DataFrame:
     """What the next run reads. With saved boundary keys the bound is closed and rows seen at it are dropped; without, open."""
     if state is None or state.watermark is None:
         return window(df, w)
-    if w.lag is not None and (not key or not state.keys):
+    if w.lag is not None and (not key or state.keys is None):
         raise ValueError("a lag needs an inclusive boundary and a primary key")
-    rows = window(df, Window(w.column, w.direction, state.watermark, bool(state.keys), w.upper, w.upper_closed, w.nulls, w.lag))
-    if not state.keys:
+    rows = window(df, Window(w.column, w.direction, state.watermark, state.keys is not None, w.upper, w.upper_closed, w.nulls, w.lag))
+    if state.keys is None:
         return rows
-    kind = T.StructType([T.StructField("row_key", rows.select(row_key(rows, key).alias("k")).schema["k"].dataType)])
-    return drop_seen(rows, w.column, key, state.watermark, df.sparkSession.createDataFrame([(k,) for k in state.keys], kind))
+    return drop_seen(rows, w.column, key, state.watermark, df.sparkSession.read.parquet(state.keys))
 
 
 def watermark(df: DataFrame, column: str, direction: str = "max") -> DataFrame:
@@ -111,16 +131,20 @@ def boundary_rows(df: DataFrame, column: str, direction: str = "max") -> DataFra
     return df.join(F.broadcast(top), F.col(column) == F.col("watermark"), "left_semi")
 
 
-def advance(df: DataFrame, column: str, key: list[str] | None, before: State | None = None, direction: str = "max", keep_keys: bool = True) -> State:
-    """The state after rows were read. It never moves back; at an unchanged watermark keys are joined to those before."""
+def advance(df: DataFrame, column: str, key: list[str] | None, before: State | None = None, direction: str = "max", folder: str | None = None) -> State:
+    """The state after rows were read. It never moves back. The keys at the watermark are written to folder as a table, with
+    those before them where the watermark stays; without a folder none are kept. One value goes to the driver."""
     top = watermark(df, column, direction).first()["watermark"]
     old = before or State()
     if top is None or (old.watermark is not None and (top < old.watermark if direction == "max" else top > old.watermark)):
         return old
-    keys = [tuple(r["k"]) for r in df.filter(F.col(column) == bound(df, column, top)).select(row_key(df, key).alias("k")).distinct().collect()] if keep_keys else []
-    if top == old.watermark:
-        keys = [*old.keys, *(k for k in keys if k not in set(old.keys))]
-    return State(top, keys)
+    if folder is None:
+        return State(top)
+    keys = df.filter(F.col(column) == bound(df, column, top)).select(row_key(df, key).alias("row_key"))
+    if top == old.watermark and old.keys is not None:
+        keys = keys.unionByName(df.sparkSession.read.parquet(old.keys))
+    keys.distinct().write.mode("overwrite").parquet(folder)
+    return State(top, folder)
 
 
 def keyset_resume(df: DataFrame, column: str, tie: str, after, after_tie) -> DataFrame:

@@ -52,7 +52,9 @@ def upsert(target: DataFrame, stage: DataFrame, spec: MergeSpec) -> DataFrame:
         kept = _kept(rows, spec).select(*columns)
         gone = rows.join(kept, key, "left_anti").select(*key)
         return target.join(gone, key, "left_anti").select(*columns).unionByName(kept.join(target, key, "left_anti").select(*columns))
-    return target.join(rows.select(*key), key, "left_anti").select(*columns).unionByName(_kept(rows, spec).select(*columns))
+    # Keys of the delivery are those of its survivors; the window isn't computed for them.
+    gone = stage.select(*key).distinct()
+    return target.join(gone, key, "left_anti").select(*columns).unionByName(_kept(rows, spec).select(*columns))
 
 
 def duplicate_keys(target: DataFrame, key: list[str]) -> DataFrame:

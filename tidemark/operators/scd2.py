@@ -27,33 +27,37 @@ def scd2_merge(history: DataFrame, stage: DataFrame, key: list[str], arrival: st
     scope is named. Columns in ignore don't make a change. An empty delivery with "retire" closes nothing."""
     b, m = _instant(history, valid_from, boundary), None if marker is None else _instant(history, valid_to, marker)
     data = [c for c in history.columns if c not in (valid_from, valid_to)]
-    rows = survivors(stage, key, arrival, sort)
     compared = [c for c in data if c not in key and c not in ignore]
-    new = rows.select(*[F.col(c).alias(f"_new_{c}") for c in data], F.lit(True).alias("_met"))
-    on = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"_new_{c}") for c in key])
-    differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in compared], F.lit(False))
     open_now = is_open(valid_to, m)
-    closes = F.col("_met").isNotNull() & differs
-    joined = history.join(new, on & open_now, "left")
+    closed, live = history.filter(~open_now), history.filter(open_now)
+    rows = survivors(stage, key, arrival, sort)
+    # One full join of open versions and survivors gives both what closes and what opens.
+    new = rows.select(F.struct(*[F.col(c) for c in data]).alias("_new"), *[F.col(c).alias(f"_key_{c}") for c in key])
+    old = live.select(F.struct(*[F.col(c) for c in history.columns]).alias("_old"), *[F.col(c).alias(f"_own_{c}") for c in key])
+    on = reduce(lambda x, y: x & y, [F.col(f"_own_{c}") == F.col(f"_key_{c}") for c in key])
+    both = old.join(new, on, "full_outer")
+    met, had = F.col("_new").isNotNull(), F.col("_old").isNotNull()
+    differs = reduce(or_, [~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in compared], F.lit(False))
+    closes = had & met & differs
     if absent == "retire":
-        lost = F.col("_met").isNull()
+        lost = had & ~met
         if scope:
             scopes = stage.select(*[F.col(c).alias(f"_scope_{c}") for c in scope]).dropna().distinct().withColumn("_in_scope", F.lit(True))
-            joined = joined.join(scopes, reduce(lambda x, y: x & y, [F.col(c) == F.col(f"_scope_{c}") for c in scope]), "left")
+            both = both.join(scopes, reduce(lambda x, y: x & y, [F.col(f"_old.{c}") == F.col(f"_scope_{c}") for c in scope]), "left")
             lost = lost & F.col("_in_scope").isNotNull()
         else:
             # One row that tells whether anything was delivered at all: an empty unit never retires.
             some = stage.limit(1).select(F.lit(True).alias("_some")).agg(F.max("_some").alias("_some"))
-            joined = joined.join(F.broadcast(some))
+            both = both.join(F.broadcast(some))
             lost = lost & F.coalesce(F.col("_some"), F.lit(False))
         closes = closes | lost
-    old = joined.withColumn(valid_to, F.when(open_now & closes, b).otherwise(F.col(valid_to))).select(*history.columns)
-    # Survivors whose key has an open version with equal values open none.
-    same = history.filter(open_now).select(*key, *compared)
-    equal = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(same[c]) for c in [*key, *compared]])
-    opened = rows.join(same, equal, "left_anti").withColumn(valid_from, b)
-    opened = opened.withColumn(valid_to, F.lit(None).cast(history.schema[valid_to].dataType) if m is None else m)
-    return old.unionByName(opened.select(*history.columns))
+    kinds = {f.name: f.dataType for f in history.schema.fields}
+    until = lambda column, end: F.when(column, b).otherwise(end).cast(kinds[valid_to])
+    before = F.struct(*[(until(closes, F.col(f"_old.{c}")) if c == valid_to else F.col(f"_old.{c}").cast(kinds[c])).alias(c) for c in history.columns])
+    end = F.lit(None) if m is None else m
+    opened = F.struct(*[(b if c == valid_from else end if c == valid_to else F.col(f"_new.{c}")).cast(kinds[c]).alias(c) for c in history.columns])
+    versions = F.array(F.when(had, before), F.when(met & (~had | differs), opened))
+    return closed.unionByName(both.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("_v")).select("_v.*"))
 
 
 def first_history(stage: DataFrame, key: list[str], arrival: str, boundary, kind: str = "timestamp_ntz", *, marker=None, sort=None, valid_from: str = VALID_FROM, valid_to: str = VALID_TO) -> DataFrame:

@@ -1,6 +1,7 @@
 """Paginated HTTP sources: selectors, paginators, response actions, retries, and a Spark data source over them.
 
-Every partition of the data source is one sequence of pages: the stream itself, or one for each parent row.
+Every partition of the data source is one sequence of pages: the stream itself, or one for each of a few given parents.
+The children of a table of parents are read by read_children(), in as many tasks as are wanted.
 """
 
 from __future__ import annotations
@@ -13,8 +14,11 @@ import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
@@ -389,3 +393,23 @@ def rest_source(stream: Stream, parents: list[dict] | None = None, name: str = "
             return RestReader(stream, parents)
 
     return RestSource
+
+
+def read_children(parents: DataFrame, stream: Stream, tasks: int = 4) -> DataFrame:
+    """The records of a child stream of every row of parents, as JSON in a column value. The parents are dealt to so many
+    tasks, each of which asks for one at a time, so no more requests are under way at once; the pause between requests holds
+    over all tasks together."""
+    if tasks < 1:
+        raise ValueError("tasks are at least 1")
+    stream.validate()
+    mine = replace(stream, pause=stream.pause * tasks)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for parent in batch["parent"]:
+                out = [json.dumps(r, sort_keys=True) for r in read_pages(mine, json.loads(parent))]
+                if out:
+                    yield pd.DataFrame({"value": out})
+
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in parents.columns]), {"ignoreNullFields": "false"})
+    return parents.select(whole.alias("parent")).repartition(tasks).mapInPandas(run, "value string")
