@@ -107,16 +107,22 @@ def test_change_log(spark, tmp_path):
         changes.apply_changes(changes.committed(bad, commits), ["id"]).collect()
 
 
-def test_resume(spark):
+def test_resume(spark, tmp_path):
     df = spark.createDataFrame([(1, "2026-01-01"), (2, "2026-01-02"), (3, "2026-01-02")], "id long, ts string")
     w = incremental.Window("ts")
-    state = incremental.advance(df, "ts", ["id"])
+    state = incremental.advance(df, "ts", ["id"], folder=f"file://{tmp_path}/a")
     more = df.unionByName(spark.createDataFrame([(4, "2026-01-02"), (5, "2026-01-03")], df.schema))
     new = incremental.resume(more, w, state, ["id"])
     assert sorted(r.id for r in new.collect()) == [4, 5]
-    state = incremental.advance(new, "ts", ["id"], state)
+    state = incremental.advance(new, "ts", ["id"], state, folder=f"file://{tmp_path}/b")
     assert incremental.resume(more, w, state, ["id"]).count() == 0
     assert incremental.advance(df, "ts", ["id"], state).watermark == "2026-01-03"  # never back
+    open_end = incremental.advance(df, "ts", ["id"])
+    assert open_end.keys is None and [r.id for r in incremental.resume(more, w, open_end, ["id"]).collect()] == [5]
+    lagged = incremental.window(df.selectExpr("cast(ts AS timestamp) AS ts"), incremental.Window("ts", lower="2026-01-02 06:00:00", lag="6 hours"))
+    assert lagged.count() == 2
+    with pytest.raises(ValueError, match="isn't a span"):
+        incremental.span("2 days; DROP TABLE x")
     with pytest.raises(ValueError, match="can't be a cursor"):
         incremental.window(spark.range(1).selectExpr("id > 0 AS b"), incremental.Window("b"))
     with pytest.raises(Exception, match="null in cursor"):

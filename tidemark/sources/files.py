@@ -187,20 +187,23 @@ def read_jsonl(spark: SparkSession, paths: list[str], schema: T.StructType, stat
     plain, packed_tasks = plan_lines(files, [p for p in paths if p not in packed], state), plan_whole(files, packed, state)
     parts = [t for t in plain if t.start or growing]
     fast = [t.path for t in plain if t not in parts] + [t.path for t in packed_tasks]
+    wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+
+    def parsed(lines: DataFrame) -> DataFrame:
+        """The records of lines (value, place)."""
+        read = lines.filter("trim(value) <> ''").select("value", "place", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias("r"))
+        why = F.concat(F.lit("malformed line in "), "place", F.lit(": "), "value")
+        return whole(read, F.col(f"r.{corrupt}").isNotNull(), why).select(*[F.col(f"r.`{f.name}`") for f in schema.fields])
+
     rows = spark.createDataFrame([], schema)
     if fast:
-        read = spark.read.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])).json(fast, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt)
-        read = read.withColumn("_file", F.col("_metadata.file_path"))
-        rows = whole(read, F.col(corrupt).isNotNull(), F.concat(F.lit("malformed line in "), "_file", F.lit(": "), corrupt)).select(*[f"`{f.name}`" for f in schema.fields])
+        rows = parsed(spark.read.text(fast).select("value", F.col("_metadata.file_path").alias("place")))
     for t in parts:
         # The one reader of Spark's that tells the byte at which a line begins; splits are read side by side.
         lines = spark.sparkContext.newAPIHadoopFile(t.path, "org.apache.hadoop.mapreduce.lib.input.TextInputFormat", "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
         mine = lines.filter(lambda line, lo=t.start, hi=t.stop: lo <= line[0] < hi).map(lambda line, hi=t.stop: (line[0], line[1].encode()[: hi - line[0]].decode(errors="replace")))
-        new = spark.createDataFrame(mine, "at long, value string").filter("trim(value) <> ''")
-        grown = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-        new = new.select("at", "value", F.from_json("value", grown, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias("r"))
-        where = F.concat(F.lit(f"malformed line in {t.path} at byte "), F.col("at").cast("string"), F.lit(": "), "value")
-        rows = rows.unionByName(whole(new, F.col(f"r.{corrupt}").isNotNull(), where).select(*[F.col(f"r.`{f.name}`") for f in schema.fields]))
+        new = spark.createDataFrame(mine, "at long, value string")
+        rows = rows.unionByName(parsed(new.select("value", F.concat(F.lit(f"{t.path} at byte "), F.col("at").cast("string")).alias("place"))))
     exact = frozenset(t.path for t in parts)
     of_lines, of_whole = settle(files, plain, state, tail_digest, exact), settle(files, packed_tasks, None, tail_digest)
     return rows, lambda: {"version": STATE_VERSION, "files": {**of_lines()["files"], **of_whole()["files"]}}
