@@ -2,45 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..storage import new_folder
+
 #: Texts in a batch to Python.
 ROWS = 1000
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where the cluster names none, as in tests, one is made and set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", f"tidemark-{os.getpid()}")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def new_folder(spark: SparkSession, what: str) -> str:
-    """A folder of its own below the shared one, deleted when the driver ends."""
-    path = f"{shared_folder(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    atexit.register(drop, spark, path)
-    return path
-
-
-def drop(spark: SparkSession, path: str) -> None:
-    """Delete a folder if the session still lives."""
-    try:
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:  # noqa: BLE001  the session may have ended
-        pass
-
-
 def small_batches(spark: SparkSession) -> None:
-    """Lets a Python worker hold ROWS texts at a time instead of Spark's 10,000, unless the session says otherwise."""
+    """Lets a Python worker hold ROWS texts at a time instead of Spark's 10,000, unless the session says otherwise. It holds
+    for the session, as Spark offers no other way; results don't depend on it."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(name) == "10000":
         spark.conf.set(name, str(ROWS))

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._ids import masked, unmasked
+from ._ids import masked, named, unmasked
 from ._store import small_batches
 from ._chunks import Kept, stretches
 
@@ -259,7 +259,7 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     small_batches(docs.sparkSession)
     kind = "id long, ids array<int>, decoded string" if ids else SCHEMA
-    rows = docs.select(masked(F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(masked(named(id_col)).alias("id"), named(text_col).alias("text"))
     return rows.mapInPandas(run, kind).withColumn("id", unmasked(F.col("id"))).withColumnRenamed("id", id_col)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._ids import mark_of, one_of_each, without
+from ._ids import mark_of, named, one_of_each, others, without
 from ._store import cut
 
 #: Parts that the copies of one text are dealt to before they meet.
@@ -25,7 +25,7 @@ def normalised(text: Column) -> Column:
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """(digest, body, keep_id, group_size) of each distinct text."""
-    rows = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("body"))
+    rows = docs.select(named(id_col).alias("id"), normalised(named(text_col)).alias("body"))
     rows = rows.select("id", "body", F.sha2("body", 256).alias("digest"), F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"))
     salted = rows.groupBy("digest", "body", "salt").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     return salted.groupBy("digest", "body").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
@@ -37,7 +37,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of equal texts the row with the largest id stays. A null text equals the empty text. A null id is smaller than any
     other, so a group of null ids only keeps them (keep_id null). Rows that repeat an id and a text count in group_size
     and share their answer. Other columns are left as they are; an empty table gives an empty result. Columns of docs
-    named like an added one are replaced.
+    named like an added one, in whatever case, are replaced.
     """
     found = groups(docs, id_col, text_col, salts)
     # Only texts that occur more than once need a partner. Digests that two texts share, if ever, are matched by text too.
@@ -45,10 +45,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count(F.lit(1)).alias("texts"), F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size")
     )
     several = cut(per_digest.filter("texts > 1 OR group_size > 1"), "exact-dedup")
-    added = ["keep_id", "group_size", "kept", "text_sha256"]
-    own = [c for c in docs.columns if c not in added or c in (id_col, text_col)]
+    added = ("keep_id", "group_size", "kept", "text_sha256")
+    own = others(docs, added, (id_col, text_col))
     # The row travels as one struct, so no name of its columns can clash.
-    rest = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.sha2(normalised(F.col(text_col)), 256).alias("sha"))
+    rest = docs.select(F.struct(*own).alias("row"), F.sha2(normalised(named(text_col)), 256).alias("sha"))
     same = ["digest", "keep_id", "group_size"]
     if several.filter("texts > 1").isEmpty():
         out = rest.join(several.select(*same), F.col("sha") == F.col("digest"), "left")
@@ -65,9 +65,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of docs, with its columns, of each text: one that has the largest id."""
-    rows = docs.select(id_col, text_col, mark_of(F.col(text_col)).alias("mark"))
+    rows = docs.select(named(id_col), named(text_col), mark_of(named(text_col)).alias("mark"))
     found = exact_dedup(rows, id_col, text_col).filter("group_size > 1")
-    found = cut(found.select(F.col(id_col).cast("long").alias("id"), "mark", "kept", F.col("text_sha256").alias("group")), "exact-dedup")
+    found = cut(found.select(named(id_col).cast("long").alias("id"), "mark", "kept", F.col("text_sha256").alias("group")), "exact-dedup")
     left = without(docs, found.filter(~F.col("kept")), id_col, text_col)
     return one_of_each(left, found.filter("kept"), id_col, text_col)
 

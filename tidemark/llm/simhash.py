@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import word_bounds
-from ._ids import mark_of, masked, one_of_each, unmasked, without
+from ._ids import mark_of, masked, named, one_of_each, unmasked, without
 from ._store import cut, small_batches
 from .components import connected_components
 
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pd.DataFrame({"id": batch["id"], "mark": batch["mark"], "fp": own})
 
     small_batches(docs.sparkSession)
-    return docs.select(masked(F.col(id_col)).alias("id"), mark_of(F.col(text_col)).alias("mark"), F.col(text_col).alias("text")).mapInPandas(run, "id long, mark long, fp long").withColumn("id", unmasked(F.col("id")))
+    return docs.select(masked(named(id_col)).alias("id"), mark_of(named(text_col)).alias("mark"), named(text_col).alias("text")).mapInPandas(run, "id long, mark long, fp long").withColumn("id", unmasked(F.col("id")))
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -221,7 +221,7 @@ def with_components(docs: DataFrame, id_col: str, text_col: str, far: int) -> Da
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: int = FAR) -> DataFrame:
     """One row of docs, with its columns, of each component: one that has the least id."""
-    found = with_components(docs.select(id_col, text_col), id_col, text_col, far)
+    found = with_components(docs, id_col, text_col, far)
     found = cut(found.select("id", "mark", F.col("component").alias("group"), F.col("component_id").eqNullSafe(F.col("id")).alias("kept")), "simhash-kept")
     left = without(docs, found.filter(~F.col("kept")), id_col, text_col)
     return one_of_each(left, found.filter("kept"), id_col, text_col)
