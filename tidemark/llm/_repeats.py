@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._bytes import FACTOR, mixed, window_anchors
-from ._ids import masked
+from ._ids import masked, named, unique
 from ._store import cut
 
 DOC = ["id", "m1", "m2"]
@@ -46,10 +46,9 @@ DEEPER = (8, 0)
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, m1, m2, text); null texts count as empty. m1 and m2 are 0 where ids are whole and unique."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(masked(F.col(id_col)).alias("id"), text.alias("text"))
-    ids = docs.select(F.col(id_col).cast("long").alias("id"))
-    if ids.filter("id is null").isEmpty() and ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+    text = F.coalesce(named(text_col), F.lit(""))
+    rows = docs.select(masked(named(id_col)).alias("id"), text.alias("text"))
+    if unique(docs, id_col):
         return rows.select("id", F.lit(0).cast("long").alias("m1"), F.lit(0).cast("long").alias("m2"), "text")
     return rows.select("id", F.xxhash64("text").alias("m1"), F.xxhash64(F.lit("again"), F.col("text")).alias("m2"), "text")
 
@@ -178,7 +177,8 @@ def is_hot(classes: DataFrame, split: int, ordered: bool, deepest: bool) -> Data
     sizes = classes.groupBy("route").agg(F.count(F.lit(1)).alias("k"), F.sum("copies").alias("n"), F.bool_or("open").alias("any"), F.min("least").alias("lo"), F.max("last").alias("hi"))
     sizes = sizes.filter("any AND n > 1" + (" AND lo < hi" if ordered else ""))
     hot = F.lit(False) if deepest else F.col("k") > split
-    return classes.join(sizes.select("route", hot.alias("hot")), "route")
+    # Cut, so that the join's sides are plain exchanges, of which Spark can split a route with very many classes.
+    return classes.join(cut(sizes.select("route", hot.alias("hot")), "routes"), "route")
 
 
 def compared(parts: DataFrame, unit: Unit) -> DataFrame:
