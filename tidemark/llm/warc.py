@@ -1,7 +1,9 @@
 """WARC files: written as request, response (or revisit) and metadata records, read back and assembled by transaction.
 
 Records go through Spark's text writer, whose line separator is the two line ends that close a record, so any file
-system and commit protocol of the cluster serves, and a file holds whole records only. Reading parses by Content-Length.
+system and commit protocol of the cluster serves, and a file holds whole records only, of PAGES pages at most. Reading
+unzips a piece at a time and parses by Content-Length, so beside a file's compressed bytes a worker holds one record and
+the rows of HELD bytes.
 """
 
 from __future__ import annotations
@@ -14,12 +16,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._store import cut, new_folder
+from ..storage import new_folder
+from ._ids import named
+from ._store import cut
 
 #: Payloads of fewer bytes are always stored whole.
 LEAST = 100
-#: Bytes of payload in a file, before compression.
-FILE_BYTES = 16 << 20
+#: Pages in a file, bytes unzipped at a time, and bytes of records that a worker gives on together.
+PAGES, PIECE, HELD = 5000, 1 << 20, 16 << 20
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -55,13 +59,12 @@ def first_captures(pages: DataFrame) -> DataFrame:
     return pages.join(firsts, keys, "left")
 
 
-def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", null_ids: bool = False) -> None:
-    """Write three records of every page. A null payload counts as empty and a null address is written as urn:none; each row
-    of a repeated id is a transaction of its own. Rows without an id are refused, or with null_ids written as all others are."""
-    clean = F.regexp_replace(F.coalesce(F.nullif(F.col(url_col), F.lit("")), F.lit("urn:none")), r"[\r\n]", " ")
-    own = F.col(id_col).cast("long")
-    own = own if null_ids else F.coalesce(own, F.raise_error(F.lit("a page without an id")).cast("long"))
-    pages = pages.select(own.alias("id"), clean.alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("body"))
+def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
+    """Write three records of every page. A null payload counts as empty and a null address is written as urn:none. Each row
+    is a transaction of its own, also where its id repeats or is null; a null id is left out of its metadata, and such a row
+    is always a response. An empty table writes no record."""
+    clean = F.regexp_replace(F.coalesce(F.nullif(named(url_col), F.lit("")), F.lit("urn:none")), r"[\r\n]", " ")
+    pages = pages.select(named(id_col).cast("long").alias("id"), clean.alias("url"), F.coalesce(named(payload_col), F.lit("")).alias("body"))
     key, pages = F.col("tid"), first_captures(pages)
     revisit = F.coalesce(F.col("first.id") != F.col("id"), F.lit(False))
     main, told = F.concat(key, F.lit(":main")), F.concat(F.lit("<urn:capture:"), key, F.lit(":main>"))
@@ -73,24 +76,51 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     facts = F.concat(F.lit("capture: "), key, F.lit("\r\n"), page, F.lit("payload-length: "), F.col("size").cast("string"), F.lit("\r\n"))
     metadata = record("metadata", F.concat(key, F.lit(":metadata")), F.col("url"), facts, "application/warc-fields", ("WARC-Concurrent-To", told))
     three = pages.select(F.concat_ws(END, request, F.when(revisit, again).otherwise(response), metadata).alias("value"))
-    three.write.option("lineSep", END).option("compression", "gzip").text(folder)
-
-
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers, names in lower case, and block of each record of a file's bytes."""
-    at = 0
-    while at < len(data):
-        if not data.startswith(b"WARC/1.", at):
-            raise ValueError(f"no record at byte {at}")
-        stop = data.index(b"\r\n\r\n", at)
-        heads = dict(line.split(": ", 1) for line in data[at:stop].decode().split("\r\n")[1:])
+    three.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", str(PAGES)).text(folder)
+
+
+def unzipped(content: bytes) -> Iterator[bytes]:
+    """The bytes of a file of one or more gzip members, in pieces."""
+    reader = zlib.decompressobj(31)
+    while content:
+        piece = reader.decompress(content, PIECE)
+        if piece:
+            yield piece
+        if reader.eof:
+            content, reader = reader.unused_data, zlib.decompressobj(31)
+        else:
+            content = reader.unconsumed_tail
+            if not content and not piece:
+                break
+    if rest := reader.flush():
+        yield rest
+
+
+def parse(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers, names in lower case, and block of each record of the bytes that come in pieces."""
+    held, done, pieces = bytearray(), 0, iter(pieces)
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while held or more():
+        while (stop := held.find(b"\r\n\r\n")) < 0 and more():
+            pass
+        if stop < 0 or not held.startswith(b"WARC/1."):
+            raise ValueError(f"no record at byte {done}")
+        heads = dict(line.split(": ", 1) for line in held[:stop].decode().split("\r\n")[1:])
         heads = {k.lower(): v for k, v in heads.items()}
         size = int(heads["content-length"])
-        yield heads, data[stop + 4 : stop + 4 + size]
-        at = stop + 4 + size
-        if data[at : at + 4] != b"\r\n\r\n":
-            raise ValueError(f"record of {size} bytes isn't closed at byte {at}")
-        at += 4
+        end = stop + 4 + size
+        while len(held) < end + 4 and more():
+            pass
+        if held[end : end + 4] != b"\r\n\r\n":
+            raise ValueError(f"the record of {size} bytes at byte {done} isn't closed")
+        yield heads, bytes(held[stop + 4 : end])
+        del held[: end + 4]
+        done += end + 4
 
 
 KIND = "kind string, record_id string, concurrent_to string, refers_to string, url string, digest string, bytes long, fields map<string,string>, payload binary"
@@ -99,15 +129,13 @@ KIND = "kind string, record_id string, concurrent_to string, refers_to string, u
 def read_records(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
     """A row for each record. Digests of stored payloads are computed anew and must equal those written."""
 
+    names = [x.split(" ")[0] for x in KIND.split(", ")]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                reader, data = zlib.decompressobj(31), b""
-                while content:  # a file may have several members
-                    data += reader.decompress(content) + reader.flush()
-                    content, reader = reader.unused_data, zlib.decompressobj(31)
-                rows = []
-                for heads, block in parse(data):
+                rows, size = [], 0
+                for heads, block in parse(unzipped(content)):
                     kind = heads["warc-type"]
                     body = block.split(b"\r\n\r\n", 1)[1] if kind == "response" else b""
                     told = heads.get("warc-payload-digest", "").removeprefix("sha256:") or None
@@ -115,14 +143,20 @@ def read_records(spark: SparkSession, folder: str, payload: bool = True) -> Data
                         raise ValueError(f"the payload of {heads['warc-record-id']} doesn't have its digest")
                     fields = dict(x.split(": ", 1) for x in block.decode().split("\r\n") if x) if kind == "metadata" else None
                     rows.append((kind, heads["warc-record-id"], heads.get("warc-concurrent-to"), heads.get("warc-refers-to"), heads.get("warc-target-uri"), told, len(body), fields, body if payload else None))
-                yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in KIND.split(", ")])
+                    size += len(block)
+                    if size >= HELD:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("content")
     return files.mapInPandas(run, KIND)
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row for each capture: its response or revisit record joined to the request and the metadata that name it."""
+    """One nested row for each capture: its response or revisit record joined to the request and the metadata that name it.
+    The records are used three times: give them cut where reading them is dear."""
     part = lambda kind: records.filter(F.col("kind") == kind)
     main = records.filter(F.col("kind").isin("response", "revisit")).select("record_id", F.struct("kind", "record_id", "url", "digest", "bytes", "refers_to", "payload").alias("response"))
     request = part("request").select(F.col("concurrent_to").alias("record_id"), F.struct(F.col("record_id").alias("request_id"), "url").alias("request"))
@@ -132,15 +166,18 @@ def assemble(records: DataFrame) -> DataFrame:
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
-    write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), folder, null_ids=True)
-    return captured_pages(read_records(spark, folder, payload=False))
+    write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), folder)
+    return captured_pages(cut(read_records(spark, folder, payload=False), "warc-records"))
 
 
 def captured_pages(records: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to, a page_id, of each capture."""
-    fields, told = F.col("metadata.fields"), F.col("response.refers_to")
+    """page_id, payload_bytes, payload_digest, record_type and refers_to, a page_id, of each capture. A response whose stored
+    payload hasn't the length that its metadata tells fails."""
+    fields, response, told = F.col("metadata.fields"), F.col("response.kind") == "response", F.col("response.refers_to")
+    size = fields["payload-length"].cast("long")
+    wrong = F.raise_error(F.concat(F.lit("another length than told: "), F.col("response.record_id"))).cast("long")
     return assemble(records).select(
-        fields["page-id"].cast("long").alias("page_id"), fields["payload-length"].cast("long").alias("payload_bytes"), F.col("response.digest").alias("payload_digest"),
+        fields["page-id"].cast("long").alias("page_id"), F.when(~response | (size == F.col("response.bytes")), size).otherwise(wrong).alias("payload_bytes"), F.col("response.digest").alias("payload_digest"),
         F.col("response.kind").alias("record_type"), F.when(told.isNotNull(), F.regexp_extract(told, r"<urn:capture:(-?\d+)(\.\d+)?:main>", 1).cast("long")).alias("refers_to"),
     )
 
