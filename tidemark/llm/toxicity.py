@@ -19,16 +19,18 @@ from pyspark.sql import functions as F
 from ._bytes import range_hashes
 from ._sample import sample_ids
 from ._store import small_batches
-from ._ids import masked, unmasked
+from ._ids import masked, named, unmasked
 from .decontamination import PARTING
 from .language_id import remainder
 
 WINDOW, STEP = 64, 32
 WORD_BUCKETS, CHAR_BUCKETS, WIDTH, HIDDEN = 1 << 14, 1 << 16, 8, 8
 NGRAMS = (3, 4, 5)
-#: Bounds of what is learned from: texts of each label, and characters of a text (longer ones aren't taken).
+#: Bounds of what is learned from: texts of each label, and characters of a text (longer ones are taken only for a label
+#: that has no shorter one, and then their middle).
 TOXIC, CLEAN, LONGEST = 1500, 3000, 12_000
-ROUNDS, BATCH, RATE, SEED = 8, 64, 0.01, 7
+#: Rounds over the sample, more where that makes fewer than STEPS steps.
+ROUNDS, STEPS, BATCH, RATE, SEED = 8, 200, 64, 0.01, 7
 #: Words kept with their inputs in a worker, and windows scored at a time.
 KEPT, WINDOWS = 300_000, 4096
 THRESHOLD = 0.7
@@ -174,13 +176,18 @@ class Network:
         self.p[name][where] -= RATE * (m[where] / (1 - 0.9**self.time)) / (np.sqrt(v[where] / (1 - 0.99**self.time)) + 1e-6)
 
 
+def window_of(places: np.ndarray, start: int) -> np.ndarray:
+    """WINDOW places from start, -1 past the end."""
+    own = places[start : start + WINDOW]
+    return own if len(own) == WINDOW else np.concatenate((own, np.full(WINDOW - len(own), -1, dtype=own.dtype)))
+
+
 def layout(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(WINDOW, windows) places of words, -1 where there is none, and the text of each window; texts have words."""
     rows, owner = [], []
     for k, places in enumerate(docs):
         for s in starts_of(len(places)):
-            own = places[s : s + WINDOW]
-            rows.append(own if len(own) == WINDOW else np.concatenate((own, np.full(WINDOW - len(own), -1, dtype=own.dtype))))
+            rows.append(window_of(places, s))
             owner.append(k)
     return np.array(rows).T, np.array(owner)
 
@@ -218,7 +225,7 @@ def train(texts: list[str], toxic: list[int]) -> Network:
         net.p[name][:, 0] = np.clip(np.log(rate[1] / rate[0]), -1, 4) / 4
     at, owner = layout(docs)
     begin = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-    for _ in range(ROUNDS):
+    for _ in range(max(ROUNDS, -(-STEPS * BATCH // len(y)) if len(y) >= BATCH else ROUNDS)):
         table = np.concatenate((net.project(bucket, grams, per), np.zeros((1, 6 * HIDDEN), np.float32)))
         logits = window_logits(net, table, at)
         # The highest window of each text.
@@ -276,11 +283,24 @@ class Scorer:
         return out
 
     def settle(self, held: list[tuple[int, np.ndarray]], out: np.ndarray) -> None:
-        at, owner = layout([p for _, p in held])
+        """The highest window of each text; a long text's windows are laid out some at a time."""
         self.table[-1] = 0
-        logits = window_logits(self.net, self.table, at)
-        begin = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        out[[k for k, _ in held]] = sigmoid(np.maximum.reduceat(logits, begin).astype(np.float64))
+        best, block, owner = np.full(len(held), -np.inf), [], []
+
+        def score() -> None:
+            if block:
+                np.maximum.at(best, owner, window_logits(self.net, self.table, np.array(block).T))
+                block.clear()
+                owner.clear()
+
+        for k, (_, places) in enumerate(held):
+            for s in starts_of(len(places)):
+                block.append(window_of(places, s))
+                owner.append(k)
+                if len(block) == WINDOWS:
+                    score()
+        score()
+        out[[k for k, _ in held]] = sigmoid(best)
         if len(self.place) > KEPT:
             self.place = {}
 
@@ -288,10 +308,16 @@ class Scorer:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Network:
     """A network from at most TOXIC and CLEAN labelled texts, taken by a hash of the id. Only rows whose crc32 of the id
     modulo 3 isn't 1 are learned from; null ids, labels and texts aren't."""
-    rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null AND y in (0, 1)").filter(remainder("id", 3) != 1)
+    rows = labels.select(named(id_col).alias("id"), named(label_col).cast("int").alias("y")).filter("id is not null AND y in (0, 1)").filter(remainder("id", 3) != 1)
     y = dict(sample_ids(rows.select("id", F.col("y").alias("stratum")), lambda label: TOXIC if label else CLEAN))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("id").isin(list(y))).filter(F.length("text") <= LONGEST)
-    found = sorted(((r.id, r.text) for r in texts.limit(2 * (TOXIC + CLEAN)).collect())) if y else []
+    texts = docs.select(named(id_col).alias("id"), named(text_col).alias("text")).filter("text is not null")
+    # Of an id that repeats one text is taken: as many rows as there are ids in the sample.
+    pick = lambda ids, text, which: [(r.id, r.text) for r in texts.filter(F.col("id").isin(ids)).filter(which).groupBy("id").agg(F.min(text).alias("text")).collect()] if ids else []
+    found = pick(list(y), F.col("text"), F.length("text") <= LONGEST)
+    lacking = {0, 1} - {y[i] for i, _ in found}
+    middle = F.substring("text", F.floor((F.length("text") - LONGEST) / 2).cast("int") + 1, F.lit(LONGEST))
+    found += pick([i for i, label in y.items() if label in lacking], middle, F.length("text") > LONGEST)
+    found.sort()
     return train([t for _, t in found], [y[i] for i, _ in found])
 
 
@@ -306,7 +332,7 @@ def score_toxicity(docs: DataFrame, net: Network, id_col: str = "doc_id", text_c
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "score": own.scores(batch["text"].tolist())})
 
-    rows = docs.select(masked(F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(masked(named(id_col)).alias("id"), named(text_col).alias("text"))
     return rows.mapInPandas(run, "id long, score double").withColumn("id", unmasked(F.col("id"))).withColumnRenamed("id", id_col)
 
 
