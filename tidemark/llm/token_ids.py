@@ -24,14 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import new_folder
 from ._chunks import stretches
-from ._ids import NO_ID, masked, unmasked
-from ._store import new_folder
+from ._ids import NO_ID, mark_of, masked, named, unique, unmasked
 
 #: Documents sampled for the dictionary, ids of each that count, and the dictionary's size: fixed bounds at every input size.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 16_384, 65_536
-#: Bytes of frames after which a block closes, and stretches kept encoded in a worker.
-BLOCK_BYTES, KEPT = 1 << 20, 1_200_000
+#: Bytes of frames after which a block closes, bytes of input for which there is a part, where these are more than Spark's
+#: shuffle partitions, and stretches kept encoded in a worker.
+BLOCK_BYTES, PART_BYTES, KEPT = 1 << 20, 256 << 20, 1_200_000
 #: Level of the compression.
 LEVEL = 1
 #: Texts encoded together.
@@ -149,8 +150,10 @@ def train_dictionary(docs: DataFrame, path: str, end: int) -> bytes:
     keys = [r.id for r in chosen.collect()]
     own = library_encoder(path)
     kind = "<u4" if own.wide else "<u2"
-    rows = docs.filter(F.col("id").isin(keys)).select(F.substring("text", 1, 4 * SAMPLE_IDS).alias("text")).limit(SAMPLE_DOCS) if keys else None
-    texts = sorted(r.text or "" for r in rows.toLocalIterator()) if keys else []
+    # Of an id that repeats one text is taken; a dictionary changes the size of the files only, so beginnings do for it.
+    begin = F.substring("text", 1, 4 * SAMPLE_IDS).alias("text")
+    rows = docs.filter(F.col("id").isin(keys)).groupBy("id").agg(F.min(begin).alias("text")).collect() if keys else []
+    texts = sorted(r.text or "" for r in rows)
     samples = [np.append(own.encode(t)[:SAMPLE_IDS], end).astype(kind).tobytes() for t in texts]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
@@ -200,11 +203,13 @@ def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 def write_token_ids(docs: DataFrame, folder: str, path: str, end: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of every whole text (null: empty), each followed by end, in ascending id order.
 
-    A null id comes first; rows that repeat an id stay apart, ordered by text. An empty table writes a manifest only.
+    A null id comes first; rows that repeat an id stay apart, in the order of a hash of the text, then of the text, so
+    neither gathers in a task. An empty table writes a manifest only.
     Folder gets blocks/, parts/ (first token of each part) and dictionary/.
     """
     spark = docs.sparkSession
-    docs = docs.select(masked(F.col(id_col)).alias("id"), F.col(text_col).alias("text"))
+    keys = [F.col("id")] if unique(docs, id_col) else [F.col("id"), mark_of(F.col("text"))]
+    docs = docs.select(masked(named(id_col)).alias("id"), named(text_col).alias("text"))
     dictionary = train_dictionary(docs, path, end)
     digest = hashlib.sha256(dictionary).digest()
 
@@ -213,7 +218,8 @@ def write_token_ids(docs: DataFrame, folder: str, path: str, end: int = 2, id_co
         rows, size, block, start = [], 0, 0, 0
 
         def close() -> pd.DataFrame:
-            return pd.DataFrame({"part": [part], "block": [block], "start": [start], "tokens": [sum(n for _, n, _ in rows)], "data": [pack(rows, digest, own.wide)]})
+            ids = [NO_ID if i is None else i for i, _, _ in rows]
+            return pd.DataFrame({"part": [part], "block": [block], "first_id": [min(ids)], "last_id": [max(ids)], "start": [start], "tokens": [sum(n for _, n, _ in rows)], "data": [pack(rows, digest, own.wide)]})
 
         tail = np.array([end], dtype="<u4")
         for batch in batches:
@@ -231,11 +237,12 @@ def write_token_ids(docs: DataFrame, folder: str, path: str, end: int = 2, id_co
         if rows:
             yield close()
 
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = docs.repartitionByRange(parts, F.col("id")).sortWithinPartitions(F.col("id"), F.coalesce("text", F.lit("")))
-    blocks = dealt.mapInPandas(run, "part int, block int, start long, tokens long, data binary")
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # as the planner knows it
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), min(size, 1 << 50) // PART_BYTES)
+    dealt = docs.repartitionByRange(parts, *keys).sortWithinPartitions(*keys, F.coalesce("text", F.lit("")))
+    blocks = dealt.mapInPandas(run, "part int, block int, first_id long, last_id long, start long, tokens long, data binary")
     blocks.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
-    # A row for each part: as many as there are shuffle partitions, whatever the input.
+    # A row for each part, of PART_BYTES of the input or more.
     sums = spark.read.parquet(f"{folder}/blocks").groupBy("part").agg(F.sum("tokens").alias("tokens")).orderBy("part").collect()
     firsts = np.cumsum([0, *(r.tokens for r in sums)])
     spark.createDataFrame([(r.part, int(n)) for r, n in zip(sums, firsts, strict=False)], "part int, first long").coalesce(1).write.parquet(f"{folder}/parts")
@@ -264,7 +271,7 @@ def read_token_ids(spark: SparkSession, folder: str, ids: bool = True) -> DataFr
 
 
 def read_document(spark: SparkSession, folder: str, key: int) -> np.ndarray | None:
-    """The ids of one document, by the index of the block that holds it."""
+    """The ids of one document: only blocks whose range of ids has it are read, and of these its frame by their index."""
     dictionary = bytes(spark.read.parquet(f"{folder}/dictionary").first()["data"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,7 +281,8 @@ def read_document(spark: SparkSession, folder: str, key: int) -> np.ndarray | No
                 for k in np.flatnonzero((block.index["id"] == key) & (block.index["null"] == 0))[:1]:
                     yield pd.DataFrame({"ids": [block.ids(int(k)).astype(np.int64)]})
 
-    row = spark.read.parquet(f"{folder}/blocks").select("data").mapInPandas(run, "ids array<long>").first()
+    blocks = spark.read.parquet(f"{folder}/blocks").filter((F.col("first_id") <= key) & (F.col("last_id") >= key))
+    row = blocks.select("data").mapInPandas(run, "ids array<long>").first()
     return None if row is None else np.array(row["ids"], dtype=np.int64)
 
 
