@@ -372,3 +372,43 @@ def test_feed_checks(spark):
         changes.apply_changes(log.withColumn("before", F.lit(None).cast(row)), ["id"], unchanged=F.col("kept")).collect()
     with pytest.raises(changes.FeedError, match="vanished"):
         changes.check_columns(log, spark.createDataFrame([], "id long, other string").schema)
+
+
+def test_work_is_tried_again():
+    from tidemark.sources.rest import RestError
+
+    tries = []
+
+    def work():
+        tries.append(1)
+        if len(tries) < 3:
+            raise RestError("busy", "rate_limited" if len(tries) == 1 else "transient", 0.0)
+        return True
+
+    assert pipeline.retried(work, 3, 0.0) and len(tries) == 3
+    for why, most in ((RestError("no"), 3), (RestError("busy", "transient"), 1), (ValueError("no"), 3)):
+        def fails(why=why):
+            raise why
+
+        with pytest.raises(type(why)):
+            pipeline.retried(fails, most, 0.0)
+
+
+def test_wire_values(spark):
+    from tidemark.functions import wire
+
+    text = lambda v, kind: spark.createDataFrame([(v,)], "v string").select(wire.decode_text(F.col("v"), kind).alias("v")).first().v
+    binary = lambda v, kind: spark.createDataFrame([(bytearray(v),)], "v binary").select(wire.decode_binary(F.col("v"), kind).alias("v")).first().v
+    assert text("t", "bool") is True and text(None, "int4") is None and text("NaN", "float8") != text("NaN", "float8") and text("-Infinity", "float4") == float("-inf")
+    assert bytes(text("\\x00ff", "bytea")) == b"\x00\xff" and str(text("12.50", "decimal(6,2)")) == "12.50" and text("2024-02-03 04:05:06.7", "timestamp") == datetime(2024, 2, 3, 4, 5, 6, 700000)
+    for v, kind in (("x", "bool"), ("00ff", "bytea"), ("infinity", "timestamp"), ("0044-03-15 BC", "date"), ("1.234", "decimal(6,2)")):
+        with pytest.raises(Exception):
+            text(v, kind)
+    assert binary(b"\xff\xff\xff\xff", "int4") == -1 and binary(b"\x80" + bytes(7), "int8") == -(1 << 63) and binary(b"\x01", "bool") is True
+    assert binary(bytes(8), "timestamp") == datetime(2000, 1, 1) and str(binary(b"\xff\xff\xff\xff", "date")) == "1999-12-31" and binary(b"\x3f\xc0\x00\x00", "float4") == 1.5
+    assert binary(bytes(range(16)), "uuid") == "00010203-0405-0607-0809-0a0b0c0d0e0f" and binary(b"\x01{}", "jsonb") == "{}"
+    with pytest.raises(Exception, match="bytes are needed"):
+        binary(b"\x01", "int4")
+    for decode in (wire.decode_text, wire.decode_binary):
+        with pytest.raises(ValueError, match="aren't read"):
+            decode(F.col("v"), "point")

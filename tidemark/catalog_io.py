@@ -196,6 +196,35 @@ def hinted_text(s, d):
     return text.select("event_id", *[types.hinted(F.col(c), h).alias(c) for c, h in hints.items()])
 
 
+@query("SELECT event_id, event_id % 2 = 0 AS flag, value, CAST(ts AS DATE) AS day, CAST(ts AS TIMESTAMP) AS at_time, md5(event_type) AS raw, CASE WHEN event_id % 5 <> 0 THEN CAST(user_id AS BIGINT) END AS small FROM events")
+def wire_text(s, d):
+    """Values as a change feed writes them in text."""
+    from .functions import wire
+
+    text = events(s, d).selectExpr("CAST(event_id AS STRING) AS event_id", "IF(event_id % 2 = 0, 't', 'f') AS flag", "CAST(value AS STRING) AS value", "CAST(CAST(ts AS DATE) AS STRING) AS day", "CAST(ts AS STRING) AS at_time", "concat('\\\\x', md5(event_type)) AS raw", "IF(event_id % 5 <> 0, CAST(user_id AS STRING), NULL) AS small")
+    kinds = {"event_id": "int8", "flag": "bool", "value": "float8", "day": "date", "at_time": "timestamp", "raw": "bytea", "small": "int2"}
+    out = text.select(*[wire.decode_text(F.col(c), k).alias(c) for c, k in kinds.items()])
+    return out.withColumn("raw", F.lower(F.hex("raw")))
+
+
+@query("SELECT event_id, -event_id AS below, event_id % 2 = 0 AS flag, CAST(DATE '1990-01-01' + CAST(event_id % 20000 AS INTEGER) AS DATE) AS day, event_type, CAST(event_id AS DOUBLE) / 8 AS number FROM events")
+def wire_binary(s, d):
+    """Values in binary, with numbers below zero and days on either side of 2000-01-01."""
+    import struct
+
+    from .functions import wire
+
+    @F.pandas_udf("binary")
+    def packed(v, kind):
+        return v.index.to_series().map(lambda i: struct.pack(kind[i], v[i] if kind[i] == ">d" else int(v[i])))
+
+    raw = lambda c, kind: packed(F.col(c).cast("double") if kind == ">d" else F.col(c).cast("long"), F.lit(kind))
+    rows = events(s, d).select("event_id", (-F.col("event_id")).alias("below"), (F.col("event_id") % 2 == 0).cast("long").alias("flag"), (F.col("event_id") % 20000 - 3652).alias("day"), "event_type", (F.col("event_id") / 8).alias("number"))
+    data = rows.select(raw("event_id", ">q").alias("event_id"), raw("below", ">i").alias("below"), raw("flag", ">b").alias("flag"), raw("day", ">i").alias("day"), F.encode("event_type", "UTF-8").alias("event_type"), raw("number", ">d").alias("number"))
+    kinds = {"event_id": "int8", "below": "int4", "flag": "bool", "day": "date", "event_type": "text", "number": "float8"}
+    return data.select(*[wire.decode_binary(F.col(c), k).alias(c) for c, k in kinds.items()])
+
+
 # Part files
 def written(s, d, **more) -> tuple[FileDestination, DataFrame]:
     out = FileDestination(s, new_folder(s, "q"), "p", **more)
@@ -271,6 +300,99 @@ def parts_grow_a_column(s, d):
     return out.read("t")
 
 
+@query("SELECT l_orderkey, l_linenumber FROM lineitem, (SELECT unnest([1, 2, 3, 4, 5]))")
+def parts_after_stops(s, d):
+    """Units stopped at each of their steps and done again."""
+    folder, rows = new_folder(s, "q"), written(s, d)[1].select("l_orderkey", "l_linenumber")
+    for seq, point in enumerate(("manifest", "part", "schema", "state", "receipt")):
+        def fail(at, point=point):
+            if at == point:
+                raise InterruptedError(at)
+
+        for stop in (fail, lambda at: None):
+            try:
+                FileDestination(s, folder, "p", fail_at=stop).write("t", rows, "l", seq, state={"seq": seq})
+            except InterruptedError:
+                pass
+    return FileDestination(s, folder, "p").read("t")
+
+
+@query("SELECT * FROM (VALUES ('notes.txt', true), ('old.parquet', false), ('deep/other.parquet', true), ('part-a-0-0.parquet', false)) t(name, stays)")
+def replaced_files(s, d):
+    """Which files of a folder a replacement leaves alone."""
+    out, rows = written(s, d)
+    for name in ("notes.txt", "old.parquet", "deep/other.parquet", "part-a-0-0.parquet"):
+        out.store.write(f"t/{name}", "mine")
+    out.write("t", rows, "l", 0, "replace")
+    return only(s, [(n, out.store.exists(f"t/{n}")) for n in ("notes.txt", "old.parquet", "deep/other.parquet", "part-a-0-0.parquet")], "name string, stays boolean")
+
+
+@query("SELECT count(*) AS n, true AS bounded, 'zstd' AS codec FROM lineitem")
+def row_group_rows(s, d):
+    out, rows = written(s, d, codec="zstd", level=5, group_rows=500)
+    out.write("t", rows.coalesce(2), "l", 0)
+    groups = [g for n in out.owned("t") for g in files.Files(s).row_groups(out.store.full(n))[1]]
+    return only(s, [(sum(n for n, _ in groups), max(n for n, _ in groups) <= 500, out.codec)], "n long, bounded boolean, codec string")
+
+
+@query("SELECT * FROM (VALUES ('newer head', true), ('older head', true), ('newer receipts', true), ('newer state of files', true), ('newer lake', true)) t(document, refused)")
+def format_gates(s, d):
+    """Documents of another format are refused, never begun anew."""
+    snapshots, parts, lakes = (kind(s, new_folder(s, "q"), "p") for kind in (SnapshotDestination, FileDestination, LakeDestination))
+    found = []
+    for name, act in (
+        ("newer head", lambda: (snapshots.store.write_json("_head-p.json", {"version": 99}), snapshots.head())),
+        ("older head", lambda: (snapshots.store.write_json("_head-p.json", {"version": 0}), snapshots.head())),
+        ("newer receipts", lambda: (parts.store.write_json("_meta/receipts-p.json", {"version": 99}), parts.receipts())),
+        ("newer state of files", lambda: files.progress_of({"version": 99, "files": {}})),
+        ("newer lake", lambda: (lakes.store.write_json("t/metadata/v1.json", {"version": 99}), lakes.read("t"))),
+    ):
+        try:
+            act()
+            found.append((name, False))
+        except ValueError:
+            found.append((name, True))
+    return only(s, found, "document string, refused boolean")
+
+
+_CHANGED = ["grew, read whole", "shrank", "rewritten at its size", "grew after an unfinished line", "changed while it was read", "named gz, but plain", "missing", "a folder"]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', true)" for c in _CHANGED) + ") t(file, refused)")
+def changed_files_refused(s, d):
+    store, schema, found = Storage(s, new_folder(s, "q")), T.StructType.fromDDL("a long"), {}
+
+    def case(name, before, after, reader=lambda p, st: files.read_jsonl(s, [p], schema, st)):
+        path = f"{len(found)}.jsonl"
+        store.write(path, before)
+        rows, settle = reader(store.full(path), None)
+        rows.collect()
+        state = settle()
+        store.write(path, after)
+        attempt(name, lambda: reader(store.full(path), state))
+
+    def attempt(name, act):
+        try:
+            act()
+            found[name] = False
+        except files.SourceError:
+            found[name] = True
+
+    case("grew, read whole", "a\n1\n", "a\n1\n2\n", lambda p, st: files.read_csv(s, [p], st))
+    case("shrank", '{"a":1}\n{"a":2}\n', '{"a":1}\n')
+    case("rewritten at its size", '{"a":1}\n', '{"a":2}\n')
+    case("grew after an unfinished line", '{"a":1}', '{"a":1}\n{"a":2}\n')
+    store.write("x.jsonl", '{"a":1}\n')
+    _, settle = files.read_jsonl(s, [store.full("x.jsonl")], schema)
+    store.write("x.jsonl", '{"a":1}\n{"a":2}\n')
+    attempt("changed while it was read", settle)
+    store.write("y.jsonl.gz", '{"a":1}\n')
+    attempt("named gz, but plain", lambda: files.read_jsonl(s, [store.full("y.jsonl.gz")], schema))
+    attempt("missing", lambda: files.list_files(s, store.full("none.jsonl")))
+    attempt("a folder", lambda: files.list_files(s, store.root))
+    return only(s, [(c, found[c]) for c in _CHANGED], "file string, refused boolean")
+
+
 # Snapshots
 @query(f"{UNTOUCHED} UNION ALL SELECT {E} FROM {LAST(STAGE)}")
 def snapshot_merge(s, d):
@@ -435,6 +557,23 @@ def lake_stamps(s, d):
     return only(s, [(x["unit"][2], x["rows"]) for x in lake(s, d).snapshots("t")], "seq long, n long")
 
 
+_M = "4294967296"
+_ROT = lambda x, r: f"((({x}) << {r}) % {_M} + (({x}) >> {32 - r}))"
+_MIX = lambda k: f"({_ROT(f'(({k}) * 3432918353) % {_M}', 15)} * 461845907) % {_M}"  # noqa: E731  murmur3's factors, as elsewhere
+_ROUND = lambda h, k: f"({_ROT(f'xor({h}, {_MIX(k)})', 13)} * 5 + 3864292196) % {_M}"
+
+
+@query(f"""
+WITH a AS (SELECT event_id, CAST(event_id % {_M} AS UBIGINT) AS lo, CAST(event_id // {_M} AS UBIGINT) AS hi FROM events),
+b AS (SELECT event_id, hi, {_ROUND("CAST(0 AS UBIGINT)", "lo")} AS h FROM a), c AS (SELECT event_id, xor(CAST({_ROUND("h", "hi")} AS UBIGINT), 8) AS h FROM b),
+e AS (SELECT event_id, (xor(h, h >> 16) * 2246822507) % {_M} AS h FROM c), f AS (SELECT event_id, (xor(h, h >> 13) * 3266489909) % {_M} AS h FROM e)
+SELECT event_id, CAST((xor(h, h >> 16) % 2147483648) % 16 AS INTEGER) AS bucket FROM f""")
+def transform_bucket(s, d):
+    from .functions import partitions
+
+    return events(s, d).select("event_id", partitions.transform("bucket", "event_id", 16).alias("bucket"))
+
+
 # Feeds
 @query(f"SELECT user_id, event_type, value FROM {TARGET} WHERE user_id NOT IN (SELECT user_id FROM {_APPLIED}) UNION ALL SELECT user_id, event_type, value FROM {LAST(_APPLIED, 'lsn DESC, seq DESC')} WHERE _deleted IS NOT TRUE")
 def cdc_catch_up(s, d):
@@ -517,6 +656,24 @@ def normal_names(s, d):
     return shred.normal_names(events(s, d).select("event_id", F.col("user_id").alias("The User"), F.col("event_type").alias("Kind-of.event()")))
 
 
+_CONNECTIONS = {
+    "host=h dbname=d user=u password=x": ("jdbc:postgresql://h:5432/d", "prefer", None), "postgresql://u:x@h:6000/d?sslmode=verify-full": ("jdbc:postgresql://h:6000/d", "verify-full", None),
+    "host=h dbname=d sslmode=disable sslrootcert=c": (None, None, "sslrootcert conflicts with sslmode disable"), "host=h dbname=d tty=1": (None, None, "connection parameter tty is not supported"),
+}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("CAST(NULL AS VARCHAR)" if v is None else f"'{v}'" for v in (k, *vs)) + ")" for k, vs in _CONNECTIONS.items()) + ") t(text, url, tls, why)")
+def connection_strings(s, d):
+    found = []
+    for text in _CONNECTIONS:
+        try:
+            db = database.parse_connection(text)
+            found.append((text, db.url, db.properties["sslmode"], None))
+        except database.DatabaseError as e:
+            found.append((text, None, None, str(e).replace("isn't", "is not")))
+    return only(s, found, "text string, url string, tls string, why string")
+
+
 # A database, embedded
 def derby(s) -> database.Database:
     return database.Database(f"jdbc:derby:memory:{new_folder(s, 'q').rpartition('/')[2]};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver", "user": "APP"})

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.changes import apply_changes, committed
+from ..operators.changes import apply_changes, check_columns, committed
 from ..plans.commit import Table
 from ..sinks.snapshots import SnapshotDestination
 
@@ -25,8 +26,8 @@ def publish_stream(rows: DataFrame, destination: SnapshotDestination, table: Tab
 
 def catch_up(spark: SparkSession, log: DataFrame, commits: DataFrame, key: list[str], since, until, destination: SnapshotDestination, table: Table, load: str, seq: int) -> bool:
     """One pass over a change log: transactions committed after since and up to until, merged as one unit whose state is until."""
+    if (live := destination.read(table.name)) is not None:
+        check_columns(log, live.schema)
     rows = apply_changes(committed(log, commits, since, until), key)
-    from pyspark.sql import functions as F
-
     rows = rows.withColumn("_arrival", F.struct("lsn", "seq")).drop("lsn", "seq")
     return destination.commit([table], {table.name: rows}, load, seq, "_arrival", state={"lsn": until}, empty=lambda _: rows.drop("_arrival", "_deleted").limit(0))
