@@ -39,6 +39,8 @@ PARTS = "route long, d1 long, d2 long, least long, last long, copies int, open b
 FOUND = "route long, d1 long, d2 long, least long, strict boolean, a int, b int"
 #: Units of a text, and segments, that a task holds at a time.
 BLOCK, HELD = 1 << 18, 100_000
+#: Copies of a segment in a batch that are settled there.
+TOGETHER = 4
 #: Classes of a route that are sorted together; more are split by deeper keys: so many least grams of a window, 0 for all of it.
 SPLIT = 1000
 DEEPER = (8, 0)
@@ -150,9 +152,11 @@ def settle_batch(unit: Unit, held: list[tuple], texts: list) -> pd.DataFrame:
         met = ids[order] > ids[order[begin]][run_of]
     else:
         met = (np.diff(np.append(begin, len(order))) > 1)[run_of]
-    # The first of a run, and the last, which is another place, of a larger id where that is asked for.
-    several = np.unique(run_of[met])
+    # The first of a run, and the last, which is another place, of a larger id where that is asked for. Short runs wait for
+    # the rest of their class, as they would go through the structure twice.
     ends = np.append(begin[1:], len(order)) - 1
+    met &= (ends - begin + 1 >= TOGETHER)[run_of]
+    several = np.unique(run_of[met])
     sure = unit.whole([(content(order[begin[r]]), content(order[ends[r]])) for r in several.tolist()])
     met &= ~np.isin(run_of, several[~np.array(sure, dtype=bool)]) if len(several) else False
     kind = np.full(len(order), OPEN, dtype=np.int32)
