@@ -21,4 +21,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL, "op6_warc": warc.OP6_SQL, "op8_decontamination": decontamination.OP8_SQL}
+    return {
+        "op1_exact_dedup": exact_dedup.OP1_SQL,
+        "op4_suffix_array": suffix_array.OP4_SQL,
+        "op6_warc": warc.OP6_SQL,
+        "op8_decontamination": decontamination.OP8_SQL,
+        "op9_substring_dedup": substring_dedup.OP9_SQL,
+    }

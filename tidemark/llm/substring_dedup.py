@@ -190,3 +190,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), texts=False)
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775807) AS i, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS v FROM documents),
+w AS (SELECT r, i, k, md5_number(array_to_string(v[k + 1 : k + 50], ' ')) AS h FROM (SELECT r, i, v, unnest(range(0, len(v) - 49)) AS k FROM d)),
+m AS (SELECT r, k FROM w JOIN (SELECT h, min(i) AS least FROM w GROUP BY h) USING (h) WHERE i > least),
+t AS (SELECT r, k, CASE WHEN k <= lag(k) OVER o + 50 THEN 0 ELSE 1 END AS first FROM m WINDOW o AS (PARTITION BY r ORDER BY k)),
+s AS (SELECT r, min(k) AS a, max(k) + 50 AS z FROM (SELECT r, k, sum(first) OVER (PARTITION BY r ORDER BY k) AS g FROM t) GROUP BY r, g),
+p AS (SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS z FROM (SELECT * FROM s UNION ALL SELECT r, len(v), len(v) FROM d)),
+n AS (SELECT r, sum(z - a) AS n_removed FROM s GROUP BY r),
+l AS (SELECT p.r, string_agg(array_to_string(v[p.a + 1 : p.z], ' '), ' ' ORDER BY p.a) AS x FROM p JOIN d USING (r) WHERE p.z > p.a GROUP BY p.r)
+SELECT doc_id, CAST(len(v) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(x, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN l USING (r)
+"""

@@ -208,3 +208,17 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), texts=False)
+
+
+OP4_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, k, md5_number(b[k + 1 : k + 200]) AS h FROM (SELECT r, b, unnest(range(0, octet_length(b) - 199)) AS k FROM d)),
+m AS (SELECT r, k FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+t AS (SELECT r, k, CASE WHEN k <= lag(k) OVER o + 200 THEN 0 ELSE 1 END AS first FROM m WINDOW o AS (PARTITION BY r ORDER BY k)),
+s AS (SELECT r, min(k) AS a, max(k) + 200 AS z FROM (SELECT r, k, sum(first) OVER (PARTITION BY r ORDER BY k) AS g FROM t) GROUP BY r, g),
+p AS (SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS z FROM (SELECT * FROM s UNION ALL SELECT r, octet_length(b), octet_length(b) FROM d)),
+n AS (SELECT r, count(*) AS n_spans, sum(z - a) AS n_removed FROM s GROUP BY r),
+l AS (SELECT p.r, string_agg(hex(b[p.a + 1 : p.z]), '' ORDER BY p.a, p.z) AS x FROM p JOIN d USING (r) GROUP BY p.r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(x)) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN l USING (r)
+"""
