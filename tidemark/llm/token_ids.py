@@ -34,7 +34,7 @@ SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 16_384, 65_536
 #: shuffle partitions, and stretches kept encoded in a worker.
 BLOCK_BYTES, PART_BYTES, KEPT = 1 << 20, 256 << 20, 1_200_000
 #: Level of the compression.
-LEVEL = 1
+LEVEL = 3
 #: Texts encoded together.
 TOGETHER = 128
 #: Stretches joined for the library, and how the vocabulary spells a leading space.
