@@ -14,9 +14,14 @@ from tidemark.llm import bpe, decontamination, exact_dedup, language_id, simhash
 from tidemark.llm._store import cut
 
 
+#: Predicted languages that stay; None: all that were learned.
+LANGUAGES: list[str] | None = None
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; texts without a letter, and null ones, go."""
-    return language_id.keep_known(docs)
+    """Documents whose predicted language is one of LANGUAGES; null texts, those without a letter, and those of whose letters
+    the learned texts have less than half, go."""
+    return language_id.keep_known(docs, languages=LANGUAGES)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import re
 from tests.llm.test_operators import brute_fingerprint, components_of, lower
 
 import corpus_pipeline
-from tidemark.llm import decontamination
+from tidemark.llm import decontamination, language_id
 
 
 def test_stages(spark):
@@ -32,6 +32,19 @@ def test_stages(spark):
     assert sorted(r.doc_id for r in out) == sorted(left) and len(left) < len(rows)
 
 
+def test_language_stage_takes_the_prediction(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = language_id.identify_language(docs, language_id.fit_language_model(docs)).collect()
+    for wanted in (["en"], ["de", "fr"], ["none"]):
+        monkeypatch.setattr(corpus_pipeline, "LANGUAGES", wanted)
+        kept = corpus_pipeline.language(spark, docs, "").collect()
+        assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in found if r.lang_pred in wanted and r.likeness >= 0.5)
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", None)
+    odd_one = spark.createDataFrame([(-1, "Привет, как дела?", None)], "doc_id long, text string, lang string")
+    more = docs.select("doc_id", "text", "lang").unionByName(odd_one)
+    assert {r.doc_id for r in corpus_pipeline.language(spark, more, "").collect()} == {r.doc_id for r in found if r.lang_pred != "und"}
+
+
 def test_stages_on_odd_rows(spark, odd, none):
     for docs in (odd, none):
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES, 1):

@@ -28,7 +28,7 @@ def sample_ids(rows: DataFrame, most: Callable[[object], int], total: int | None
     found = rows.filter(place < shares[F.col("stratum")]).select("id", "stratum", place.alias("place")).limit(2 * sum(wanted.values())).collect()
     taken: Counter = Counter()
     out = []
-    for r in sorted(found, key=lambda r: (r.place, r.id)):
+    for r in sorted(found, key=lambda r: (r.place, r.id, str(r.stratum))):
         taken[r.stratum] += 1
         if taken[r.stratum] <= top[r.stratum]:
             out.append((r.id, r.stratum))

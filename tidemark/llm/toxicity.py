@@ -309,7 +309,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """A network from at most TOXIC and CLEAN labelled texts, taken by a hash of the id. Only rows whose crc32 of the id
     modulo 3 isn't 1 are learned from; null ids, labels and texts aren't."""
     rows = labels.select(named(id_col).alias("id"), named(label_col).cast("int").alias("y")).filter("id is not null AND y in (0, 1)").filter(remainder("id", 3) != 1)
-    y = dict(sample_ids(rows.select("id", F.col("y").alias("stratum")), lambda label: TOXIC if label else CLEAN))
+    y = dict(sample_ids(rows.select("id", F.col("y").alias("stratum")).distinct(), lambda label: TOXIC if label else CLEAN))
     texts = docs.select(named(id_col).alias("id"), named(text_col).alias("text")).filter("text is not null")
     # Of an id that repeats one text is taken: as many rows as there are ids in the sample.
     pick = lambda ids, text, which: [(r.id, r.text) for r in texts.filter(F.col("id").isin(ids)).filter(which).groupBy("id").agg(F.min(text).alias("text")).collect()] if ids else []
