@@ -17,7 +17,7 @@ from tidemark.sinks.files import FileDestination
 from tidemark.sinks.lake import LakeDestination
 from tidemark.sinks.lease import Lease, LeaseError
 from tidemark.sinks.snapshots import SnapshotDestination
-from tidemark.sources import database
+from tidemark.sources import database, files
 from tidemark.sources.database import Database, DatabaseError, parse_connection
 
 DOC = """
@@ -75,7 +75,10 @@ def test_append_resumes(spark, tmp_path):
     assert pipeline.run(spark, doc)["streams"]["orders"] == {"units": 1, "already": 0, "resumed": True}
     out = FileDestination(spark, f"file://{tmp_path}/out", "p")
     assert sorted(r.id for r in out.read("orders").collect()) == [1, 2, 3, 4]
-    assert pipeline.run(spark, doc)["streams"]["orders"]["units"] == 1 and out.count_rows("orders") == 4  # a unit without rows
+    assert pipeline.run(spark, doc)["streams"]["orders"]["units"] == 0 and out.count_rows("orders") == 4
+    (tmp_path / "in/b.jsonl").write_text('{"id": 3, "at": "z", "amount": 31}\n')
+    with pytest.raises(files.SourceError, match="rewritten"):
+        pipeline.run(spark, doc)
 
 
 @pytest.mark.parametrize("point", ["part", "state", "receipt"])

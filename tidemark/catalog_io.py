@@ -276,7 +276,7 @@ def part_names(s, d):
 @query("SELECT count(*) AS n, true AS rolled, true AS within FROM lineitem")
 def parts_rolled(s, d):
     """A small bound on parts: several come out, none far over the bound."""
-    bound = 4 << 10
+    bound = 16 << 10
     out, rows = written(s, d, part_bytes=bound, codec="uncompressed")
     out.write("t", rows.coalesce(1), "l", 0)
     sizes = [out.store.fs.getFileStatus(out.store.path(n)).getLen() for n in out.owned("t")]

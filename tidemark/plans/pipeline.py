@@ -214,19 +214,19 @@ class Unit:
 
 
 def file_units(spark: SparkSession, s: StreamSpec, state: dict | None, policy: CommitPolicy | None) -> Iterator[Unit]:
-    """A unit for as many files as the policy takes; a stream without a file still gives one without rows."""
+    """A unit for as many files as the policy takes; a stream that has no file yet gives one without rows, for its columns,
+    and one whose files are all known gives none."""
     paths = files.list_files(spark, s.path)
     kind = s.format or next((k for k in ("parquet", "csv", "jsonl") if f".{k}" in s.path.rpartition("/")[2]), None)
     look = Files(spark)
     known = files.progress_of(state)
     sizes = [look.stat(p)[0] for p in paths]
     new = [k for k, p in enumerate(paths) if p not in known or known[p]["size"] != sizes[k]]
-    groups = [(0, len(paths))] if policy is None or not new else None
-    if groups is None:
-        cuts = list(policy.units([sizes[k] for k in new]))
-        chosen = [[paths[k] for k in new[lo:hi]] for lo, hi in cuts]
-    else:
-        chosen = [paths]
+    if state is not None and not new:
+        for path in paths:  # nothing to read, but what was read must be as it was
+            files.check_history(path, *look.stat(path), known[path])
+        return
+    chosen = [paths] if policy is None or not new else [[paths[k] for k in new[lo:hi]] for lo, hi in policy.units([sizes[k] for k in new])]
     at = state
     for own in chosen:
         if kind == "jsonl":

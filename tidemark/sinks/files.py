@@ -22,6 +22,8 @@ from ..storage import Storage
 from .lease import Lease
 
 FORMAT_VERSION = 1
+#: Rows that stay together however small part_bytes is.
+LEAST_ROWS = 1000
 EXTENSIONS = {"parquet": "parquet", "json": "jsonl"}
 #: Codecs and the levels they take (fixed values).
 CODECS = {"uncompressed": None, "snappy": None, "lz4_raw": None, "gzip": (0, 9), "brotli": (0, 11), "zstd": (1, 22)}
@@ -148,7 +150,7 @@ class FileDestination:
             return staged
         kind = T.StructType([f for f in df.schema.fields if f.name != "_folder"])
         again = self.spark.read.schema(kind).format(self.kind).option("recursiveFileLookup", "true").load(self.store.full(staged))
-        fit = max(1, int(self.part_bytes * again.count() / sum(sizes)))
+        fit = max(LEAST_ROWS, int(self.part_bytes * again.count() / sum(sizes)))
         if self.partition_by:
             again = again.withColumn("_folder", encode_partition(F.col(self.partition_by))).hint("rebalance", "_folder")
         rolled = f"{staged}-rolled"
