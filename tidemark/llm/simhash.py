@@ -2,9 +2,10 @@
 
 Fingerprints that differ in at most FAR bits agree in one of FAR + 1 blocks of bits, so each distinct fingerprint goes
 to FAR + 1 buckets (block, value). In a bucket they are sorted by Gray rank, which puts fingerprints of few differences
-side by side; runs of RUN form nodes, RUN nodes a node above, and so on. A node keeps the bits that all below share.
-Two nodes whose shared bits differ more often than FAR are pruned with everything below them; two nodes that can't differ
-more often are linked without looking below. What is emitted are links that span a bucket's components, not all pairs.
+side by side; runs of RUN form nodes, RUN nodes a node above, and so on. A node keeps the pattern of bits that all below
+share, so a bit shared by a whole group is looked at once, in the group's node. A pair of nodes adds the differences in
+the bits that it is the first to share to those that the pairs above it have counted; a pair with more than FAR is pruned
+with everything below it, and one that can't reach more is linked without looking below. What is emitted are links that span a bucket's components, not all pairs.
 """
 
 from __future__ import annotations
@@ -104,16 +105,18 @@ def bucket_components(fps: np.ndarray, buckets: np.ndarray, far: int = FAR) -> n
         some, every = np.bitwise_or.reduceat(value | vary, first), np.bitwise_and.reduceat(value & ~vary, first)
         levels.append((every, some & ~every, member[first], own[first], np.append(first, len(own))))
     top = len(levels) - 1
-    work = [(top, np.arange(len(levels[top][0])), np.arange(len(levels[top][0])))]
+    tops = np.arange(len(levels[top][0]))
+    # Pairs of nodes with the differences counted so far, and the bits that no pair above has looked at.
+    work = [(top, tops, tops, np.zeros(len(tops), dtype=np.uint8), np.full(len(tops), ~np.uint64(0)))]
     while work:
-        level, a, b = work.pop()
+        level, a, b, least, unseen = work.pop()
         if len(a) > PAIRS:
-            work += [(level, a[k : k + PAIRS], b[k : k + PAIRS]) for k in range(0, len(a), PAIRS)]
+            work += [(level, *(v[k : k + PAIRS] for v in (a, b, least, unseen))) for k in range(0, len(a), PAIRS)]
             continue
         value, vary, member, _, children = levels[level]
-        shared = (value[a] ^ value[b]) & ~(vary[a] | vary[b])
-        least = np.bitwise_count(shared)
-        most = least + np.bitwise_count(vary[a] | vary[b])
+        left = vary[a] | vary[b]
+        least = least + np.bitwise_count((value[a] ^ value[b]) & unseen & ~left)
+        most = least + np.bitwise_count(left)
         near = least <= far
         sure = near & (most <= far)
         sets.join(member[a[sure]], member[b[sure]])
@@ -127,7 +130,7 @@ def bucket_components(fps: np.ndarray, buckets: np.ndarray, far: int = FAR) -> n
                 lo, hi = levels[k][4][lo], levels[k][4][hi]
             if hi - lo > 1:
                 sets.join(np.full(hi - lo - 1, lo), np.arange(lo + 1, hi))
-        a, b = a[near & ~sure], b[near & ~sure]
+        a, b, least, left = (v[near & ~sure] for v in (a, b, least, left))
         if len(a):
             na, nb = np.diff(children)[a], np.diff(children)[b]
             ca = np.repeat(children[a], na * nb)
@@ -136,7 +139,7 @@ def bucket_components(fps: np.ndarray, buckets: np.ndarray, far: int = FAR) -> n
             width = np.repeat(nb, na * nb)
             ca, cb = ca + within // width, cb + within % width
             keep = ca < cb if level == 1 else ca <= cb
-            work.append((level - 1, ca[keep], cb[keep]))
+            work.append((level - 1, ca[keep], cb[keep], np.repeat(least, na * nb)[keep], np.repeat(left, na * nb)[keep]))
     out = np.empty(n, dtype=np.int64)
     out[order] = order[sets.find(np.arange(n))]
     return out
