@@ -174,6 +174,25 @@ def cursor_order(s, d):
     return incremental.in_order(rows, "v", "min").limit(rows.count() // 4)
 
 
+@query("SELECT event_id, value FROM (SELECT event_id, value, max(value) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM events) WHERE value < top")
+def cursor_violations(s, d):
+    """Rows that a source which claims to be in the order of value gave too late."""
+    return incremental.out_of_order(events(s, d).select("event_id", "value"), "value", "event_id")
+
+
+@query("SELECT * FROM (VALUES ('bigint', true), ('string', true), ('date', true), ('timestamp_ntz', true), ('decimal(18,2)', true), ('boolean', false), ('double', false), ('binary', false)) t(type, allowed)")
+def cursor_types(s, d):
+    df = events(s, d).selectExpr("event_id AS a", "event_type AS b", "CAST(ts AS DATE) AS c", "CAST(ts AS TIMESTAMP_NTZ) AS d", "CAST(value AS DECIMAL(18,2)) AS e", "event_id > 0 AS f", "CAST(value AS DOUBLE) AS g", "CAST(event_type AS BINARY) AS h")
+    found = []
+    for f in df.schema.fields:
+        try:
+            incremental.check_cursor(df, f.name)
+            found.append((f.dataType.simpleString(), True))
+        except ValueError:
+            found.append((f.dataType.simpleString(), False))
+    return only(s, found, "type string, allowed boolean")
+
+
 @query("SELECT event_id FROM events WHERE event_id >= 500")
 def window_nulls_error(s, d):
     return incremental.window(events(s, d).select("event_id"), incremental.Window("event_id", "max", 500, nulls="error"))

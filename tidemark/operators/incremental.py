@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as Order
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,6 +93,19 @@ def in_order(df: DataFrame, column: str, direction: str = "max") -> DataFrame:
     return df.orderBy(F.col(column).asc_nulls_first() if direction == "max" else F.col(column).desc_nulls_first())
 
 
+def out_of_order(df: DataFrame, column: str, arrival: str, parts: int = 64) -> DataFrame:
+    """Rows whose cursor is below one that came before them by arrival, a number. The rows are dealt to ranges of arrival
+    by at most parts quantiles; within a range a running greatest is kept, and one row a range carries it on."""
+    edges = sorted({e for e in df.approxQuantile(arrival, [k / parts for k in range(1, parts)], 0.01)})
+    part = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col(arrival))) if edges else F.lit(0)
+    rows = df.withColumn("_part", part)
+    ends = rows.groupBy("_part").agg(F.max(column).alias("_top"))
+    before = ends.withColumn("_before", F.max("_top").over(Order.orderBy("_part").rowsBetween(Order.unboundedPreceding, -1))).drop("_top")
+    inside = F.max(column).over(Order.partitionBy("_part").orderBy(arrival).rowsBetween(Order.unboundedPreceding, -1))
+    marked = rows.withColumn("_inside", inside).join(F.broadcast(before), "_part")
+    return marked.filter(F.col(column) < F.greatest("_inside", "_before")).select(*df.columns)
+
+
 def row_key(df: DataFrame, key: list[str] | None) -> Column:
     """What tells a row: its key, else a hash of all its values with nulls kept apart."""
     if key:
