@@ -24,7 +24,7 @@ from ._store import small_batches
 from ._chunks import Kept, stretches
 
 #: Entries, of the younger half, of the store of encoded stretches in a Python worker (about 100 MB) and of that of token pairs; pre-tokens and their beginnings have half as many.
-KEPT = 350_000
+KEPT = 300_000
 #: Bytes of a beginning: words that share one go on from its stored last tokens.
 BEGUN = 6
 NEVER = 1 << 60
