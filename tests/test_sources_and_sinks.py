@@ -419,3 +419,41 @@ def test_selectors():
     for bad in ("", "a..b", "a[x]", "a["):
         with pytest.raises(ValueError):
             rest.parse_selector(bad)
+
+
+def events_in(spark, tmp_path, rows):
+    """A folder of tables with events (event_id, user_id) only."""
+    df = spark.createDataFrame(rows, "event_id long, user_id long").selectExpr("event_id", "TIMESTAMP '2024-01-01' AS ts", "user_id", "'click' AS event_type", "1.0D AS value")
+    df.write.parquet(f"file://{tmp_path}/events.parquet")
+    return f"file://{tmp_path}"
+
+
+def test_pages_are_found_by_place(spark, tmp_path, monkeypatch):
+    import urllib.request
+
+    from tidemark import catalog_io
+
+    # Each id twice, so that a page of 500 ends within a pair; more pages than one bound for all would allow.
+    d = events_in(spark, tmp_path, [(k // 2, None if k % 7 == 0 else k % 5) for k in range(1, 2602)])
+    made, build = [], urllib.request.build_opener
+    monkeypatch.setattr(urllib.request, "build_opener", lambda *a: made.append(a) or build(*a))
+    base, pages = catalog_io.api(spark, d)
+    read = lambda **k: list(rest.read_pages(rest.Stream(base, "/events", records="data.items", pages=pages, **k)))
+    got = read()
+    assert [r["event_id"] for r in got] == [k // 2 for k in range(1, 2602)] and sum(r["user_id"] is None for r in got) == 371
+    assert len(made) <= 1 and pages.max_pages == 6
+    batches = list(rest.RestReader(rest.Stream(base, "/events", records="data.items", pages=pages), None).read(rest._Parent(None)))
+    assert [b.num_rows for b in batches] == [2601]
+
+
+@pytest.fixture
+def thrice(spark, tmp_path):
+    """Events with each id three times, so that pages end within them."""
+    return events_in(spark, tmp_path, [(k // 3, k % 5) for k in range(1, 5001)])
+
+
+def test_an_ignored_page_among_repeated_ids(spark, thrice):
+    from tidemark import catalog_io
+
+    got = sorted(r.event_id for r in catalog_io.rest_ignored_page(spark, thrice).collect())
+    assert got == [k // 3 for k in range(1, 5001) if not 1000 < k <= 1500]

@@ -4,10 +4,12 @@ as its user does, in folders of its own below the shared one, and gives rows tha
 from __future__ import annotations
 
 import json
+import tempfile
 import threading
-from http.server import BaseHTTPRequestHandler, HTTPServer
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from urllib.parse import parse_qs, urlsplit
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -756,69 +758,125 @@ def database_merge(s, d):
 
 
 # HTTP
-def api(s, d) -> str:
-    """The address of a server of events in pages of 500, which lead on by a cursor; its third page is under maintenance."""
-    rows = [{"event_id": r.event_id, "user_id": r.user_id} for r in events(s, d).select("event_id", "user_id").orderBy("event_id").toLocalIterator()]
-    users = sorted({r["user_id"] for r in rows})
+PAGE = 500
+
+
+class Served:
+    """Records as JSON in the order of a key, in files of the driver's own: what a page takes is found by its place."""
+
+    def __init__(self, rows: DataFrame, key: str, record):
+        def run(batches):
+            import pyarrow as pa
+
+            for b in batches:
+                text = [r.encode() + b"," for r in b.column("record").to_pylist()]
+                columns = [b.column("key").fill_null(self.NONE).to_numpy().tobytes(), np.array([*map(len, text)], "i8").tobytes(), b"".join(text)]
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["key", "size", "text"])
+
+        parts = [tempfile.TemporaryFile() for _ in range(3)]
+        done = 0
+        for row in rows.select(F.col(key).alias("key"), record.alias("record")).orderBy("key").mapInArrow(run, "key binary, size binary, text binary").toLocalIterator(prefetchPartitions=True):
+            ends = done + np.cumsum(np.frombuffer(row.size, "i8"))
+            done = int(ends[-1])
+            for part, data in zip(parts, (row.key, ends.tobytes(), row.text), strict=True):
+                part.write(data)
+        for part in parts:
+            part.flush()
+        self.keys, self.ends, self.text = (np.memmap(part, kind, "r") if done else np.zeros(0, kind) for part, kind in zip(parts, ("i8", "i8", "u1"), strict=True))
+
+    #: Stands for a null key.
+    NONE = -(2**63)
+
+    def items(self, lo: int, hi: int) -> bytes:
+        """A JSON array of the records from place lo up to hi."""
+        at = [int(self.ends[k - 1]) if k else 0 for k in (lo, hi)]
+        return b"[" + self.text[at[0] : at[1]].tobytes()[:-1] + b"]"
+
+
+def serve(answer) -> str:
+    """The address of a server whose bodies are answer(path, query)."""
 
     class Handler(BaseHTTPRequestHandler):
+        wbufsize = -1
+
         def log_message(self, *a):
             pass
 
         def do_GET(self):
             u = urlsplit(self.path)
-            q = {k: v[0] for k, v in parse_qs(u.query).items()}
-            if u.path.startswith("/users/"):
-                mine = [r for r in rows if r["user_id"] == int(u.path.split("/")[2])]
-                body = {"items": [{"event_id": r["event_id"]} for r in mine]}
-            elif u.path == "/users":
-                body = {"items": [{"id": x} for x in users]}
-            else:
-                after, since = int(q.get("after", -1)), int(q.get("since", -1))
-                left = [r for r in rows if r["event_id"] > after and r["event_id"] >= since]
-                body = {"data": {"items": left[:500]}, "next": left[499]["event_id"] if len(left) > 500 else None}
-                if q.get("broken") and body["data"]["items"] and body["data"]["items"][0] == rows[min(1000, len(rows) - 1)]:
-                    body["note"] = "maintenance"
-            data = json.dumps(body).encode()
+            data = answer(u.path, {k: v[0] for k, v in parse_qs(u.query).items()})
             self.send_response(200)
             self.send_header("Content-Length", str(len(data)))
             self.end_headers()
             self.wfile.write(data)
 
-    server = HTTPServer(("127.0.0.1", 0), Handler)
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     return f"http://127.0.0.1:{server.server_port}"
 
 
+def record(*columns: str):
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
+def api(s, d) -> tuple[str, rest.Pages]:
+    """The address of a server of events in pages of 500, which lead on by a cursor, the place in the order of ids; its third
+    page is under maintenance. And how to page through it, with the number of pages that it has as the bound."""
+    rows = Served(events(s, d), "event_id", record("event_id", "user_id"))
+    n = len(rows.keys)
+
+    def answer(path: str, q: dict) -> bytes:
+        lo = int(q["after"]) if "after" in q else int(np.searchsorted(rows.keys, int(q["since"]))) if "since" in q else 0
+        hi = min(lo + PAGE, n)
+        note = b', "note": "maintenance"' if q.get("broken") and lo == 2 * PAGE else b""
+        return b'{"data": {"items": %b}, "next": %b%b}' % (rows.items(lo, hi), b"%d" % hi if hi < n else b"null", note)
+
+    return serve(answer), rest.Pages("cursor", "after", path="next", max_pages=n // PAGE + 1)
+
+
+def users_api(s, d) -> str:
+    """The address of a server of users and, below each, of the user's events."""
+    rows = Served(events(s, d), "user_id", record("event_id"))
+    starts = [0, *(np.flatnonzero(rows.keys[1:] != rows.keys[:-1]) + 1).tolist()] if len(rows.keys) else []
+    names = ["null" if k == Served.NONE else str(k) for k in rows.keys[starts]] if starts else []
+    spans = dict(zip(names, zip(starts, [*starts[1:], len(rows.keys)], strict=True), strict=True))
+    users = b'{"items": [%b]}' % b", ".join(b'{"id": %b}' % u.encode() for u in names)
+
+    def answer(path: str, q: dict) -> bytes:
+        return users if path == "/users" else b'{"items": %b}' % rows.items(*spans[path.split("/")[2]])
+
+    return serve(answer)
+
+
 def read_stream(s, stream: rest.Stream, schema: str) -> DataFrame:
     name = new_folder(s, "rest").rpartition("/")[2].replace("-", "_")
     s.dataSource.register(rest.rest_source(stream, None, name))
     return s.read.format(name).load().select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
-BY_CURSOR = rest.Pages("cursor", "after", path="next")
-
-
 @query("SELECT event_id, user_id FROM events")
 def rest_pages(s, d):
-    return read_stream(s, rest.Stream(api(s, d), "/events", records="data.items", pages=BY_CURSOR), "event_id long, user_id long")
+    base, pages = api(s, d)
+    return read_stream(s, rest.Stream(base, "/events", records="data.items", pages=pages), "event_id long, user_id long")
 
 
 @query("SELECT event_id, user_id FROM events WHERE event_id NOT IN (SELECT event_id FROM events ORDER BY event_id LIMIT 500 OFFSET 1000)")
 def rest_ignored_page(s, d):
-    stream = rest.Stream(api(s, d), "/events", params={"broken": "1"}, records="data.items", pages=BY_CURSOR, actions=[rest.Action("ignore", contains="maintenance")])
+    base, pages = api(s, d)
+    stream = rest.Stream(base, "/events", params={"broken": "1"}, records="data.items", pages=pages, actions=[rest.Action("ignore", contains="maintenance")])
     return read_stream(s, stream, "event_id long, user_id long")
 
 
 @query("SELECT event_id, user_id FROM events WHERE event_id >= 1200")
 def rest_incremental(s, d):
-    stream = rest.Stream(api(s, d), "/events", records="data.items", pages=BY_CURSOR, start_param="since", start_value="1200", cursor_field="event_id")
+    base, pages = api(s, d)
+    stream = rest.Stream(base, "/events", records="data.items", pages=pages, start_param="since", start_value="1200", cursor_field="event_id")
     return read_stream(s, stream, "event_id long, user_id long")
 
 
 @query("SELECT event_id, user_id AS _parent_id FROM events")
 def rest_children(s, d):
-    base = api(s, d)
+    base = users_api(s, d)
     parents = read_stream(s, rest.Stream(base, "/users", records="items"), "id long")
     child = rest.Stream(base, "/users/{id}/events", records="items", include=["id"])
     return rest.read_children(parents, child, 4).select(F.from_json("value", "event_id long, _parent_id long").alias("r")).select("r.*")
