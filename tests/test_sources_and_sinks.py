@@ -457,3 +457,10 @@ def test_an_ignored_page_among_repeated_ids(spark, thrice):
 
     got = sorted(r.event_id for r in catalog_io.rest_ignored_page(spark, thrice).collect())
     assert got == [k // 3 for k in range(1, 5001) if not 1000 < k <= 1500]
+
+
+def test_an_incremental_stream_of_repeated_ids(spark, thrice):
+    from tidemark import catalog_io
+
+    got = sorted(r.event_id for r in catalog_io.rest_incremental(spark, thrice).collect())
+    assert got == [k // 3 for k in range(3600, 5001)]
