@@ -464,3 +464,10 @@ def test_an_incremental_stream_of_repeated_ids(spark, thrice):
 
     got = sorted(r.event_id for r in catalog_io.rest_incremental(spark, thrice).collect())
     assert got == [k // 3 for k in range(3600, 5001)]
+
+
+def test_pages_of_repeated_ids(spark, thrice):
+    from tidemark import catalog_io
+
+    got = sorted(tuple(r) for r in catalog_io.rest_pages(spark, thrice).collect())
+    assert got == sorted((k // 3, k % 5) for k in range(1, 5001))
