@@ -471,3 +471,12 @@ def test_pages_of_repeated_ids(spark, thrice):
 
     got = sorted(tuple(r) for r in catalog_io.rest_pages(spark, thrice).collect())
     assert got == sorted((k // 3, k % 5) for k in range(1, 5001))
+
+
+def test_children_of_a_null_parent(spark, tmp_path, monkeypatch):
+    from tidemark import catalog_io
+
+    monkeypatch.setattr(rest, "BATCH", 7)
+    rows = [(k, None if k % 3 == 0 else k % 20) for k in range(100)]
+    got = catalog_io.rest_children(spark, events_in(spark, tmp_path, rows)).collect()
+    assert sorted(map(tuple, got)) == rows and sorted({r._parent_id or -1 for r in got})[0] == -1
