@@ -2,7 +2,7 @@
 
 import json
 import threading
-from datetime import datetime
+from datetime import date, datetime
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
@@ -415,3 +415,31 @@ def test_wire_values(spark):
     for decode in (wire.decode_text, wire.decode_binary):
         with pytest.raises(ValueError, match="aren't read"):
             decode(F.col("v"), "point")
+
+
+@pytest.fixture
+def far(spark, tmp_path, monkeypatch):
+    """A database that the executors are taken not to reach."""
+    from tidemark.sinks import database as sink
+
+    for module in (database, sink):
+        monkeypatch.setattr(module, "apart", lambda *a: True)
+    return derby(tmp_path)
+
+
+def test_database_of_the_driver(spark, far):
+    from decimal import Decimal
+
+    texts = [None, "", " a ", 'say "x", y', "two\nlines", "cr\r\nlf", "é😀", "\\", ",", '"']
+    rows = [(k, v, None if k == 3 else bytes([k, 0, 255]), datetime(2024, 1, 2, 3, 4, 5, k * 100_001), date(1890, 1, 1 + k), k % 2 == 0, Decimal(k) / 8, k / 3) for k, v in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, name string, raw binary, at timestamp, day date, flag boolean, price decimal(12,3), x double")
+    out = DatabaseDestination(spark, far, "APP", "p")
+    assert out.commit(Table("t", "append"), df.withColumn("n", F.col("id")), "l", 0, "n", {"at": 1}) and out.state() == {"at": 1}
+    assert sorted(map(tuple, out.read("t").collect())) == rows
+    assert not out.commit(Table("t", "append"), df.withColumn("n", F.col("id")), "l", 0, "n")
+
+
+def test_scan_of_the_driver(spark, far):
+    DatabaseDestination(spark, far, "APP", "p").commit(Table("t", "append"), spark.range(100).selectExpr("id", "id % 7 AS day", "id AS n"), "l", 0, "n")
+    rows = database.scan(spark, far, "APP", "t", include=["id"], within=database.Window("id", "max", 10, True, 20), split="id", tasks=3)
+    assert sorted(r.id for r in rows.collect()) == [*range(10, 20)] and rows.columns == ["id"]

@@ -3,7 +3,10 @@ as its user does, in folders of its own below the shared one, and gives rows tha
 
 from __future__ import annotations
 
+import atexit
 import json
+import os
+import shutil
 import tempfile
 import threading
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
@@ -697,7 +700,10 @@ def connection_strings(s, d):
 
 # A database, embedded
 def derby(s) -> database.Database:
-    return database.Database(f"jdbc:derby:memory:{new_folder(s, 'q').rpartition('/')[2]};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver", "user": "APP"})
+    """In a folder of the driver's own, as it can be larger than the driver's memory."""
+    folder = tempfile.mkdtemp(prefix="tidemark-db-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return database.Database(f"jdbc:derby:{os.path.realpath(folder)}/db;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver", "user": "APP"})
 
 
 def stored(s, d) -> tuple[database.Database, DatabaseDestination]:

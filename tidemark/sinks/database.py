@@ -16,7 +16,7 @@ from ..functions.types import check_case
 from ..operators.survivors import flagged, survivors, with_keys
 from ..plans.commit import Table, full_feed
 from ..plans.options import OptionError, check_opened, check_parsed
-from ..sources.database import Database
+from ..sources.database import Database, apart, imported, load
 
 RECEIPTS, STATES = "_sys_receipts", "_sys_states"
 FLAG = "_sys_gone"
@@ -72,9 +72,13 @@ class DatabaseDestination:
             connection.close()
 
     def write_rows(self, df: DataFrame, table: str, mode: str) -> int:
-        """Rows written into a table by Spark's tasks."""
+        """Rows written into a table by Spark's tasks, or where these can't reach the database, by it from their files."""
         seen = Observation()
         rows = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        if apart(self.spark, self.db):
+            df.limit(0).write.format("jdbc").options(**self.db.options(), dbtable=self.name(table)).mode(mode).save()
+            imported(self.spark, self.db, self.schema, table, rows)
+            return seen.get["n"]
         rows.write.format("jdbc").options(**self.db.options(), dbtable=self.name(table)).mode(mode).save()
         return seen.get["n"]
 
@@ -108,7 +112,7 @@ class DatabaseDestination:
                 raise RuntimeError(f"{t.name}: {written} rows were written and {there} are in the stage")
             after = state() if callable(state) else state
             self.publish(connection, t, data, staged, unit, met, after)
-            self.execute(connection, f"DELETE FROM {self.name(staged)}")
+            self.execute(connection, f"DROP TABLE {self.name(staged)}")
             return True
         finally:
             connection.close()
@@ -156,4 +160,4 @@ class DatabaseDestination:
             connection.setAutoCommit(True)
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.db.options(), dbtable=self.name(table)).load()
+        return load(self.spark, self.db, self.name(table))

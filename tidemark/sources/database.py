@@ -8,8 +8,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.incremental import Window, check_cursor, keyset_resume, window
+from ..storage import Storage, new_folder
 from .query import select_columns
 
 
@@ -121,6 +123,64 @@ class Found:
     key: tuple[str, ...]
 
 
+def apart(spark: SparkSession, db: Database) -> bool:
+    """Whether the database is embedded in the driver's process, and the executors, being others, can't reach it."""
+    return re.match(r"jdbc:derby:(?!//)", db.url) is not None and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is None
+
+
+def load(spark: SparkSession, db: Database, source: str, **more: str) -> DataFrame:
+    """The rows of a table or sub-query. Of a database that only the driver reaches, what is there now: the database writes
+    it to a file, and that goes to the shared folder."""
+    plain = spark.read.format("jdbc").options(**db.options(), dbtable=source, **more).load()
+    return exported(spark, db, source, plain.schema) if apart(spark, db) else plain
+
+
+def local_file(spark: SparkSession) -> str:
+    """A name in a new folder of the driver's own."""
+    return str(spark.sparkContext._jvm.java.nio.file.Files.createTempDirectory("tidemark", spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.java.nio.file.attribute.FileAttribute, 0))) + "/rows"
+
+
+def call(db: Database, spark: SparkSession, sql: str, *values: str) -> None:
+    connection = db.connect(spark)
+    try:
+        ask = connection.prepareCall(sql)
+        for k, v in enumerate(values, 1):
+            ask.setString(k, v)
+        ask.execute()
+    finally:
+        connection.close()
+
+
+def exported(spark: SparkSession, db: Database, source: str, schema: T.StructType) -> DataFrame:
+    store, here = Storage(spark, new_folder(spark, "db")), local_file(spark)
+    call(db, spark, "CALL SYSCS_UTIL.SYSCS_EXPORT_QUERY(?, ?, NULL, NULL, 'UTF-8')", f"SELECT * FROM {source}", here)
+    store.fs.mkdirs(store.path(""))
+    store.fs.copyFromLocalFile(True, True, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{here}"), store.path("rows.csv"))
+    text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.BinaryType) else f.dataType) for f in schema])
+    lines = any(isinstance(f.dataType, T.StringType) for f in schema)  # only text can have line ends within
+    rows = spark.read.schema(text).csv(store.full("rows.csv"), quote='"', escape='"', nullValue="\x01", emptyValue="", lineSep="\n", multiLine=lines, mode="FAILFAST", timestampFormat="yyyy-MM-dd HH:mm:ss[.SSSSSSSSS][.SSSSSS][.SSS][.S]")
+    return rows.select(*[(F.unhex(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.BinaryType) else F.col(f"`{f.name}`")).alias(f.name) for f in schema])
+
+
+def imported(spark: SparkSession, db: Database, schema: str, table: str, df: DataFrame) -> None:
+    """Rows into a table, with its columns in their order, of a database that only the driver reaches: Spark's tasks write
+    files to the shared folder, and the database reads one after the other."""
+    def cell(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        text = F.hex(c) if isinstance(f.dataType, T.BinaryType) else c.cast("string")
+        return F.coalesce(F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')) if isinstance(f.dataType, T.StringType) else text, F.lit(""))
+
+    store = Storage(spark, new_folder(spark, "db"))
+    df.select(F.concat_ws(",", *[cell(f) for f in df.schema]).alias("value")).write.text(store.full("rows"))
+    for name, size in store.files("rows"):
+        if size and name.endswith(".txt"):
+            here = local_file(spark)
+            store.fs.copyToLocalFile(False, store.path(name), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{here}"), True)
+            call(db, spark, "CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(?, ?, ?, NULL, NULL, 'UTF-8', 0)", schema, table, here)
+            spark.sparkContext._jvm.java.io.File(here).delete()
+    store.delete("")
+
+
 def discover(spark: SparkSession, db: Database, schema: str, tables: list[str] | None = None, views: bool = False) -> list[Found]:
     """The tables of a schema, views only if asked for. tables None: all but partitions of another table; a list: those,
     partitions too, and one that isn't there is refused; an empty list: none."""
@@ -170,11 +230,11 @@ def scan(spark: SparkSession, db: Database, schema: str, table: str, include: li
     """The rows of a table; chosen columns and the window go into the database's query. With split, a column of numbers,
     dates or times, so many tasks read ranges of it side by side. A table without rows still has its columns."""
     options = {**db.options(), "dbtable": db.name(schema, table), "fetchsize": str(fetch)}
-    plain = spark.read.format("jdbc").options(**options).load()
+    plain = load(spark, db, db.name(schema, table), fetchsize=str(fetch))
     if split is not None:
         if split not in plain.columns:
             raise DatabaseError(f"{table} has no column {split}")
-        lo, hi = plain.agg(F.min(split), F.max(split)).first()
+        lo, hi = plain.agg(F.min(split), F.max(split)).first() if not apart(spark, db) else (None, None)
         if lo is not None and lo < hi:
             options |= {"partitionColumn": db.name(split), "lowerBound": str(lo), "upperBound": str(hi), "numPartitions": str(tasks)}
             plain = spark.read.format("jdbc").options(**options).load()
@@ -196,4 +256,4 @@ def query_rows(spark: SparkSession, db: Database, sql: str) -> DataFrame:
     """The rows of one SELECT, as a sub-query, so windows on them go into the database too."""
     if re.match(r"\s*\(*\s*(select|with|values)\b", sql, re.I) is None or ";" in sql.rstrip("; \n\t"):
         raise DatabaseError("a query stream takes one SELECT")
-    return spark.read.format("jdbc").options(**db.options(), dbtable=f"({sql.rstrip('; ')}) q").load()
+    return load(spark, db, f"({sql.rstrip('; ')}) q")
