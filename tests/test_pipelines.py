@@ -443,3 +443,9 @@ def test_scan_of_the_driver(spark, far):
     DatabaseDestination(spark, far, "APP", "p").commit(Table("t", "append"), spark.range(100).selectExpr("id", "id % 7 AS day", "id AS n"), "l", 0, "n")
     rows = database.scan(spark, far, "APP", "t", include=["id"], within=database.Window("id", "max", 10, True, 20), split="id", tasks=3)
     assert sorted(r.id for r in rows.collect()) == [*range(10, 20)] and rows.columns == ["id"]
+
+
+def test_query_of_the_driver(spark, far):
+    DatabaseDestination(spark, far, "APP", "p").commit(Table("t", "append"), spark.range(100).selectExpr("id", "id % 7 AS day", "id AS n"), "l", 0, "n")
+    assert sorted(map(tuple, database.query_rows(spark, far, 'SELECT "day", COUNT(*) AS "n" FROM APP."t" GROUP BY "day"').collect())) == [(k, 15 if k < 2 else 14) for k in range(7)]
+    assert database.query_rows(spark, far, 'SELECT "id" FROM APP."t" WHERE "id" < 0').collect() == []
