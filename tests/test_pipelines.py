@@ -449,3 +449,9 @@ def test_query_of_the_driver(spark, far):
     DatabaseDestination(spark, far, "APP", "p").commit(Table("t", "append"), spark.range(100).selectExpr("id", "id % 7 AS day", "id AS n"), "l", 0, "n")
     assert sorted(map(tuple, database.query_rows(spark, far, 'SELECT "day", COUNT(*) AS "n" FROM APP."t" GROUP BY "day"').collect())) == [(k, 15 if k < 2 else 14) for k in range(7)]
     assert database.query_rows(spark, far, 'SELECT "id" FROM APP."t" WHERE "id" < 0').collect() == []
+
+
+def test_page_of_the_driver(spark, far):
+    DatabaseDestination(spark, far, "APP", "p").commit(Table("t", "append"), spark.range(100).selectExpr("id", "id % 7 AS day", "id AS n"), "l", 0, "n")
+    page = database.scan_page(database.scan(spark, far, "APP", "t"), "day", "id", 3, 5, 12)
+    assert [(r.day, r.id) for r in page.collect()] == [(5, 19), (5, 26), (5, 33)]
