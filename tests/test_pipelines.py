@@ -455,3 +455,9 @@ def test_page_of_the_driver(spark, far):
     DatabaseDestination(spark, far, "APP", "p").commit(Table("t", "append"), spark.range(100).selectExpr("id", "id % 7 AS day", "id AS n"), "l", 0, "n")
     page = database.scan_page(database.scan(spark, far, "APP", "t"), "day", "id", 3, 5, 12)
     assert [(r.day, r.id) for r in page.collect()] == [(5, 19), (5, 26), (5, 33)]
+
+
+def test_discovery_of_the_driver(spark, far):
+    out = DatabaseDestination(spark, far, "APP", "p")
+    out.commit(Table("t", "append"), spark.range(5).selectExpr("id", "id AS n"), "l", 0, "n")
+    assert [(f.name, [c[0] for c in f.columns]) for f in database.discover(spark, far, "APP") if not f.name.startswith("_")] == [("t", ["id"])]
