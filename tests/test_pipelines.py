@@ -461,3 +461,12 @@ def test_discovery_of_the_driver(spark, far):
     out = DatabaseDestination(spark, far, "APP", "p")
     out.commit(Table("t", "append"), spark.range(5).selectExpr("id", "id AS n"), "l", 0, "n")
     assert [(f.name, [c[0] for c in f.columns]) for f in database.discover(spark, far, "APP") if not f.name.startswith("_")] == [("t", ["id"])]
+
+
+def test_merge_of_the_driver(spark, far):
+    out = DatabaseDestination(spark, far, "APP", "p")
+    key = Table("t", "merge", ("id",), TableOptions(strategy="upsert", hard_delete="gone"))
+    rows = lambda lo, v: spark.range(lo, lo + 10).selectExpr("id", f"'{v}' AS v", f"id % 5 = 0 AND '{v}' = 'b' AS gone", "id AS n")
+    for seq, (lo, v) in enumerate(((0, "a"), (5, "b"))):
+        out.commit(key, rows(lo, v), "l", seq, "n")
+    assert sorted(map(tuple, out.read("t").collect())) == [(k, "a") for k in range(5)] + [(k, "b") for k in range(5, 15) if k % 5]

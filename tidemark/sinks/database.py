@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.types import check_case
 from ..operators.survivors import flagged, survivors, with_keys
@@ -110,6 +111,10 @@ class DatabaseDestination:
             there = int(self.value(connection, f"SELECT COUNT(*) FROM {self.name(staged)}"))
             if written != there:
                 raise RuntimeError(f"{t.name}: {written} rows were written and {there} are in the stage")
+            if t.mode == "merge" and not any(isinstance(rows.schema[k].dataType, (T.StringType, T.BinaryType)) for k in t.key):
+                # Else a database without hash joins would look through the stage for each row. Long texts can't be indexed everywhere.
+                index = self.name(f"{staged}_key") if self.db.url.startswith("jdbc:derby:") else self.db.name(f"{staged}_key")
+                self.execute(connection, f"CREATE INDEX {index} ON {self.name(staged)} ({', '.join(self.db.name(k) for k in t.key)})")
             after = state() if callable(state) else state
             self.publish(connection, t, data, staged, unit, met, after)
             self.execute(connection, f"DROP TABLE {self.name(staged)}")
