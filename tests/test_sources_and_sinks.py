@@ -480,3 +480,15 @@ def test_children_of_a_null_parent(spark, tmp_path, monkeypatch):
     rows = [(k, None if k % 3 == 0 else k % 20) for k in range(100)]
     got = catalog_io.rest_children(spark, events_in(spark, tmp_path, rows)).collect()
     assert sorted(map(tuple, got)) == rows and sorted({r._parent_id or -1 for r in got})[0] == -1
+
+
+def test_many_parts_are_listed_and_read_as_a_folder(spark, tmp_path):
+    out = FileDestination(spark, f"file://{tmp_path}", "p", part_bytes=1000)
+    out.write("t", spark.range(9000), "l", 0)
+    assert len(out.sizes("t")) >= 8 and [*out.sizes("t").values()] == [(tmp_path / n).stat().st_size for n in out.owned("t")]
+    assert out.paths("t") == [f"file://{tmp_path}/t"] and out.count_rows("t") == 9000
+    (tmp_path / "t" / "notes.txt").write_text("mine")
+    assert len(out.paths("t")) == len(out.owned("t")) and out.count_rows("t") == 9000
+    folders = FileDestination(spark, f"file://{tmp_path}/f", "p", partition_by="v")
+    folders.write("t", spark.sql("SELECT 1 AS id, CAST(NULL AS STRING) AS v"), "l", 0)
+    assert folders.paths("t") == [f"file://{tmp_path}/f/t/__null__/part-l-0-0.parquet"] and folders.read("t").count() == 1

@@ -302,8 +302,8 @@ def parts_rolled(s, d):
     """A small bound on parts: several come out, none far over the bound."""
     bound = 16 << 10
     out, rows = written(s, d, part_bytes=bound, codec="uncompressed")
-    out.write("t", rows.coalesce(1), "l", 0)
-    sizes = [out.store.fs.getFileStatus(out.store.path(n)).getLen() for n in out.owned("t")]
+    out.write("t", rows, "l", 0)
+    sizes = out.sizes("t").values()
     return only(s, [(out.count_rows("t"), len(sizes) > 1, max(sizes) < 2 * bound)], "n long, rolled boolean, within boolean")
 
 

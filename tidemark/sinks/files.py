@@ -177,24 +177,39 @@ class FileDestination:
         """Spark escapes % in folder names once more."""
         return re.sub(r"%25", "%", folder)
 
+    @staticmethod
+    def is_owned(table: str, name: str) -> bool:
+        folders = name[len(table) + 1 :].split("/")
+        return len(folders) <= 2 and OWN.fullmatch(folders[-1]) is not None
+
     def owned(self, table: str, replace: bool = False) -> list[str]:
-        """Published files of a table, by the shape of their name, at most one folder deep. For a replacement of Parquet
-        without partitions any *.parquet at the top counts as the table's."""
-        found, any_top = [], replace and self.kind == "parquet" and not self.partition_by
-        for name, _ in self.store.files(table):
+        return [*self.sizes(table, replace)]
+
+    def sizes(self, table: str, replace: bool = False) -> dict[str, int]:
+        """Name and bytes of the published files of a table, by the shape of their name, at most one folder deep. For a
+        replacement of Parquet without partitions any *.parquet at the top counts as the table's."""
+        found, any_top = {}, replace and self.kind == "parquet" and not self.partition_by
+        for name, size in self.store.files(table):
             folders = name[len(table) + 1 :].split("/")
-            if len(folders) <= 2 and OWN.fullmatch(folders[-1]) or any_top and len(folders) == 1 and name.endswith(".parquet"):
-                found.append(name)
+            if self.is_owned(table, name) or any_top and len(folders) == 1 and name.endswith(".parquet"):
+                found[name] = size
         return found
 
+    def paths(self, table: str) -> list[str]:
+        """What Spark is to read: the table's folder where all in it is the table's and lies at the top, else each file."""
+        there = [n for n, _ in self.store.files(table)]
+        names = [n for n in there if self.is_owned(table, n)]
+        flat = names and len(names) == len(there) and all(n.count("/") == table.count("/") + 1 for n in names)
+        return [self.store.full(table)] if flat else [self.store.full(n) for n in names]
+
     def count_rows(self, table: str) -> int:
-        names = self.owned(table)
-        return self.spark.read.format(self.kind).load([self.store.full(n) for n in names]).count() if names else 0
+        paths = self.paths(table)
+        return self.spark.read.format(self.kind).load(paths).count() if paths else 0
 
     def read(self, table: str) -> DataFrame:
         """The published rows in the schema that the table has grown to; older parts give null for newer columns."""
         schema = self.schema(table)
-        names = [self.store.full(n) for n in self.owned(table)]
+        names = self.paths(table)
         if not names:
             return self.spark.createDataFrame([], schema or T.StructType([]))
         reader = self.spark.read.format(self.kind)

@@ -15,10 +15,11 @@ class Storage:
     def __init__(self, spark: SparkSession, root: str):
         self.jvm, self.root = spark.sparkContext._jvm, root.rstrip("/")
         self.conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.made_path, self.folders = self.jvm.org.apache.hadoop.fs.Path, set()  # each step of a name in the JVM is a call of its own
         self.fs = self.path("").getFileSystem(self.conf)
 
     def path(self, name: str):
-        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return self.made_path(f"{self.root}/{name}" if name else self.root)
 
     def full(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -72,24 +73,33 @@ class Storage:
         self.write(name, json.dumps(value, sort_keys=True))
 
     def rename(self, a: str, b: str) -> None:
-        self.fs.mkdirs(self.path(b).getParent())
-        if self.exists(b):
-            self.fs.delete(self.path(b), False)
-        if not self.fs.rename(self.path(a), self.path(b)):
+        target = self.path(b)
+        if (folder := b.rpartition("/")[0]) not in self.folders:
+            self.fs.mkdirs(target.getParent())
+            self.folders.add(folder)
+        if self.fs.exists(target):
+            self.fs.delete(target, False)
+        if not self.fs.rename(self.path(a), target):
             raise OSError(f"{a} can't become {b}")
 
     def delete(self, name: str) -> None:
+        self.folders.clear()
         self.fs.delete(self.path(name), True)
 
     def files(self, name: str, deep: bool = True) -> list[tuple[str, int]]:
-        """(name below root, bytes) of the files below a folder, sorted."""
+        """(name below root, bytes) of the files below a folder, sorted. By listStatus, as listFiles asks for the rights of
+        each file, for which a local file system runs a program."""
         if not self.exists(name):
             return []
-        found, walk = [], self.fs.listFiles(self.path(name), deep)
-        base = self.fs.makeQualified(self.path("")).toUri().getPath()
-        while walk.hasNext():
-            s = walk.next()
-            found.append((s.getPath().toUri().getPath()[len(base) :].lstrip("/"), s.getLen()))
+        found, folders = [], [name]
+        while folders:
+            folder = folders.pop()
+            for s in self.fs.listStatus(self.path(folder)):
+                at = f"{folder}/{s.getPath().getName()}" if folder else s.getPath().getName()
+                if not s.isDirectory():
+                    found.append((at, s.getLen()))
+                elif deep:
+                    folders.append(at)
         return sorted(found)
 
 
