@@ -482,6 +482,24 @@ def test_children_of_a_null_parent(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, got)) == rows and sorted({r._parent_id or -1 for r in got})[0] == -1
 
 
+@pytest.fixture
+def connections(monkeypatch):
+    """Those that servers of this process have taken."""
+    import socketserver
+
+    taken, setup = [], socketserver.StreamRequestHandler.setup
+    monkeypatch.setattr(socketserver.StreamRequestHandler, "setup", lambda self: taken.append(self) or setup(self))
+    return taken
+
+
+def test_children_of_a_task_share_a_connection(spark, tmp_path, connections):
+    from tidemark import catalog_io
+
+    rows = [(k, k % 50) for k in range(200)]
+    got = catalog_io.rest_children(spark, events_in(spark, tmp_path, rows)).collect()
+    assert sorted(map(tuple, got)) == rows and len(connections) <= 5  # of four tasks and of that which reads the parents
+
+
 def test_many_parts_are_listed_and_read_as_a_folder(spark, tmp_path):
     out = FileDestination(spark, f"file://{tmp_path}", "p", part_bytes=1000)
     out.write("t", spark.range(9000), "l", 0)

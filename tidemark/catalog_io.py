@@ -4,12 +4,13 @@ as its user does, in folders of its own below the shared one, and gives rows tha
 from __future__ import annotations
 
 import atexit
+import io
 import json
 import os
 import shutil
 import tempfile
 import threading
-from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+from socketserver import StreamRequestHandler, ThreadingTCPServer
 from urllib.parse import parse_qs, urlsplit
 
 import numpy as np
@@ -802,23 +803,27 @@ class Served:
 def serve(answer) -> str:
     """The address of a server whose bodies are answer(path, query)."""
 
-    class Handler(BaseHTTPRequestHandler):
-        wbufsize = -1
+    class Handler(StreamRequestHandler):
+        wbufsize, timeout, disable_nagle_algorithm = -1, 60, True
 
-        def log_message(self, *a):
-            pass
-
-        def do_GET(self):
-            u = urlsplit(self.path)
-            data = answer(u.path, {k: v[0] for k, v in parse_qs(u.query).items()})
-            self.send_response(200)
-            self.send_header("Content-Length", str(len(data)))
-            self.end_headers()
-            self.wfile.write(data)
-
-    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        def handle(self):
+            """A connection's requests, one after the other; the client may keep it as long as it asks within a minute."""
+            try:
+                while len(line := self.rfile.readline(1 << 16).split()) == 3:
+                    while self.rfile.readline(1 << 16).strip():
+                        pass
+                    u = urlsplit(line[1].decode())
+                    data = answer(u.path, {k: v[0] for k, v in parse_qs(u.query).items()})
+                    self.wfile.write(b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % len(data))
+                    self.wfile.write(data)
+                    self.wfile.flush()
+            except OSError:  # the client has gone, or is idle
+                self.wfile = io.BytesIO()  # what it didn't take isn't sent
+
+    server = ThreadingTCPServer(("127.0.0.1", 0), Handler)
+    server.daemon_threads = True
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    return f"http://127.0.0.1:{server.server_port}"
+    return f"http://127.0.0.1:{server.server_address[1]}"
 
 
 def record(*columns: str):
