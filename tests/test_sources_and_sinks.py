@@ -500,6 +500,19 @@ def test_children_of_a_task_share_a_connection(spark, tmp_path, connections):
     assert sorted(map(tuple, got)) == rows and len(connections) <= 5  # of four tasks and of that which reads the parents
 
 
+def test_records_encoded_together(monkeypatch):
+    import random
+
+    rows = [{"b": 1, "a": "}, {"}, {}, {"x": [{}, {"y": None}]}, {"é": 1.5}, [{}, {}], 7, None, "}, {", {"n": 2**70, "\x00": "\ud800"}]
+    deal = random.Random(1)
+    for n in (0, 1, 2, 3, 250):
+        some = [deal.choice(rows) for _ in range(n)]
+        assert list(rest.as_texts(iter(some))) == [json.dumps(r, sort_keys=True) for r in some]
+    calls, dumps = [], json.dumps
+    monkeypatch.setattr(rest.json, "dumps", lambda *a, **k: calls.append(a) or dumps(*a, **k))
+    assert len(list(rest.as_texts({"k": k} for k in range(1000)))) == 1000 and len(calls) == 1000 // rest.PIECE
+
+
 def test_many_parts_are_listed_and_read_as_a_folder(spark, tmp_path):
     out = FileDestination(spark, f"file://{tmp_path}", "p", part_bytes=1000)
     out.write("t", spark.range(9000), "l", 0)

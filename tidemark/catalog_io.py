@@ -772,24 +772,29 @@ class Served:
     """Records as JSON in the order of a key, in files of the driver's own: what a page takes is found by its place."""
 
     def __init__(self, rows: DataFrame, key: str, record):
+        none = self.NONE
+
         def run(batches):
             import pyarrow as pa
 
             for b in batches:
-                text = [r.encode() + b"," for r in b.column("record").to_pylist()]
-                columns = [b.column("key").fill_null(self.NONE).to_numpy().tobytes(), np.array([*map(len, text)], "i8").tobytes(), b"".join(text)]
+                if not b.num_rows:
+                    continue
+                text = b.column("record").cast(pa.large_binary())
+                ends = np.frombuffer(text.buffers()[1], "i8")[text.offset : text.offset + len(text) + 1]
+                columns = [b.column("key").fill_null(none).to_numpy().tobytes(), np.diff(ends).tobytes(), text.buffers()[2][ends[0] : ends[-1]].to_pybytes()]
                 yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["key", "size", "text"])
 
         parts = [tempfile.TemporaryFile() for _ in range(3)]
         done = 0
-        for row in rows.select(F.col(key).alias("key"), record.alias("record")).orderBy("key").mapInArrow(run, "key binary, size binary, text binary").toLocalIterator(prefetchPartitions=True):
+        for row in rows.select(F.col(key).alias("key"), F.concat(record, F.lit(",")).alias("record")).orderBy("key").mapInArrow(run, "key binary, size binary, text binary").toLocalIterator(prefetchPartitions=True):
             ends = done + np.cumsum(np.frombuffer(row.size, "i8"))
             done = int(ends[-1])
             for part, data in zip(parts, (row.key, ends.tobytes(), row.text), strict=True):
                 part.write(data)
         for part in parts:
             part.flush()
-        self.keys, self.ends, self.text = (np.memmap(part, kind, "r") if done else np.zeros(0, kind) for part, kind in zip(parts, ("i8", "i8", "u1"), strict=True))
+        self.keys, self.ends, self.text = (np.asarray(np.memmap(part, kind, "r")) if done else np.zeros(0, kind) for part, kind in zip(parts, ("i8", "i8", "u1"), strict=True))
 
     #: Stands for a null key.
     NONE = -(2**63)
