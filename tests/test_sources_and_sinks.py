@@ -513,6 +513,39 @@ def test_records_encoded_together(monkeypatch):
     assert len(list(rest.as_texts({"k": k} for k in range(1000)))) == 1000 and len(calls) == 1000 // rest.PIECE
 
 
+def test_an_incremental_stream_over_one_connection(spark, thrice, connections):
+    from tidemark import catalog_io
+
+    assert catalog_io.rest_incremental(spark, thrice).count() == 1401 and len(connections) == 1
+
+
+def test_a_connection_that_the_server_closes_unsaid(connections):
+    asked = []
+
+    class Closing(BaseHTTPRequestHandler):
+        protocol_version = "HTTP/1.1"
+
+        def log_message(self, *a):
+            pass
+
+        def do_GET(self):
+            asked.append(self.path)
+            after = int(parse_qs(urlsplit(self.path).query).get("c", ["0"])[0]) + 1
+            data = json.dumps({"items": [{"id": after}], "next": after if after < 6 else None}).encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+            self.close_connection = after % 2 == 0
+
+    server = HTTPServer(("127.0.0.1", 0), Closing)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    stream = rest.Stream(f"http://127.0.0.1:{server.server_port}", "/e", records="items", pages=rest.Pages("cursor", "c", path="next"), tries=1)
+    assert [r["id"] for r in rest.read_pages(stream)] == [1, 2, 3, 4, 5, 6]
+    assert len(asked) == 6 and len(connections) == 3
+    server.shutdown()
+
+
 def test_many_parts_are_listed_and_read_as_a_folder(spark, tmp_path):
     out = FileDestination(spark, f"file://{tmp_path}", "p", part_bytes=1000)
     out.write("t", spark.range(9000), "l", 0)
