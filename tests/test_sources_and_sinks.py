@@ -519,6 +519,39 @@ def test_an_incremental_stream_over_one_connection(spark, thrice, connections):
     assert catalog_io.rest_incremental(spark, thrice).count() == 1401 and len(connections) == 1
 
 
+def test_a_stream_gives_columns_where_from_json_would(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tidemark import catalog_io
+
+    schema = "i long, d double, s string, b boolean"
+    odd = {"i": [1, -(2**63), 2**63, True, 1.0, "1", [1]], "d": [0.5, -0.0, 1e308, float("inf"), float("nan"), 1, "x"], "s": ["", "}, {", "\n\u00e9", "\ud800", 7, {"k": 1}], "b": [True, False, 0, "true"]}
+    plain = {"i": [1, -(2**63), 2**63 - 1], "d": [0.5, -0.0, 1e-300], "s": ["", "}, {", "\n\u00e9"], "b": [True, False]}
+    deal = random.Random(2)
+    one = lambda values: {k: deal.choice([*v, None]) for k, v in values.items() if deal.random() < 0.9} | {"more": 1}
+    pages = [[one(plain) for _ in range(30)], [], [one(odd) for _ in range(200)], [{}, one(plain)], [7, None, [], "x", one(plain)], *([one(odd)] for _ in range(60))]
+    base = catalog_io.serve(lambda path, q: json.dumps({"items": pages[int(q.get("c", 0))], "next": k if (k := int(q.get("c", 0)) + 1) < len(pages) else None}).encode())
+    stream = rest.Stream(base, "/e", records="items", pages=rest.Pages("cursor", "c", path="next"))
+    fields = {"i": "bigint", "d": "double", "s": "string", "b": "boolean"}
+    assert [c.to_pylist() for c in rest.as_columns(pages[3], fields)][0] == [None, pages[3][1].get("i")]
+    assert rest.as_columns(pages[0], fields) is not None and rest.as_columns(pages[2], fields) is None and rest.as_columns([{"i": 2**63}], fields) is None
+    for types in (schema, "i long, more long", "i int, s string"):
+        texts = spark.createDataFrame([(json.dumps(r, sort_keys=True),) for page in pages for r in page], "value string")
+        want = texts.select(F.from_json("value", types).alias("r")).select("r.*").collect()
+        assert list(map(repr, rest.read_stream(spark, stream, types).collect())) == list(map(repr, want))
+
+
+def test_an_incremental_stream_is_planned_without_a_data_source(spark, thrice, monkeypatch):
+    from tidemark import catalog_io
+
+    monkeypatch.setattr(catalog_io, "AT_ONCE", 1)  # each block of rows goes to the driver by itself
+    got = catalog_io.rest_incremental(spark, thrice)
+    assert "BatchScan" not in got._jdf.queryExecution().toString()
+    assert sorted(tuple(r) for r in got.collect()) == sorted((k // 3, k % 5) for k in range(3600, 5001))
+
+
 def test_a_connection_that_the_server_closes_unsaid(connections):
     asked = []
 

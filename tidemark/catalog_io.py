@@ -10,6 +10,7 @@ import os
 import shutil
 import tempfile
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from socketserver import StreamRequestHandler, ThreadingTCPServer
 from urllib.parse import parse_qs, urlsplit
 
@@ -32,7 +33,7 @@ from .sinks.lease import Lease, LeaseError
 from .sinks.snapshots import SnapshotDestination
 from .sources import database, files, rest
 from .sources.query import select_columns
-from .storage import Storage, new_folder
+from .storage import Storage, drop, new_folder
 from .streaming.publish import catch_up, publish_stream
 
 FILES = 6
@@ -766,36 +767,53 @@ def database_merge(s, d):
 
 # HTTP
 PAGE = 500
+#: Bytes of records that go to the driver at once.
+AT_ONCE = 32 << 20
 
 
 class Served:
     """Records as JSON in the order of a key, in files of the driver's own: what a page takes is found by its place."""
 
-    def __init__(self, rows: DataFrame, key: str, record):
-        none = self.NONE
-
-        def run(batches):
-            import pyarrow as pa
-
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                text = b.column("record").cast(pa.large_binary())
-                ends = np.frombuffer(text.buffers()[1], "i8")[text.offset : text.offset + len(text) + 1]
-                columns = [b.column("key").fill_null(none).to_numpy().tobytes(), np.diff(ends).tobytes(), text.buffers()[2][ends[0] : ends[-1]].to_pybytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], ["key", "size", "text"])
-
+    def __init__(self, s, rows: DataFrame, key: str, record):
+        folder = new_folder(s, "served")
+        placed = rows.orderBy(key).select(F.monotonically_increasing_id().alias("at"), F.coalesce(key, F.lit(self.NONE)).alias("key"), F.concat(record, F.lit(",")).alias("record"))
+        placed.write.parquet(folder)
+        placed = s.read.schema("at long, key long, record string").parquet(folder)
         parts = [tempfile.TemporaryFile() for _ in range(3)]
         done = 0
-        for row in rows.select(F.col(key).alias("key"), F.concat(record, F.lit(",")).alias("record")).orderBy("key").mapInArrow(run, "key binary, size binary, text binary").toLocalIterator(prefetchPartitions=True):
-            ends = done + np.cumsum(np.frombuffer(row.size, "i8"))
-            done = int(ends[-1])
-            for part, data in zip(parts, (row.key, ends.tobytes(), row.text), strict=True):
-                part.write(data)
+        for some in self.pieces(placed):
+            if (np.diff(at := some["at"].to_numpy()) < 0).any():  # files are read in any order
+                some = some.take(np.argsort(at))
+            for batch in some.to_batches():
+                text = batch["record"].cast("large_binary")
+                ends = np.frombuffer(text.buffers()[1], "i8")[text.offset : text.offset + len(text) + 1]
+                for part, data in zip(parts, (batch["key"].to_numpy(), ends[1:] - ends[0] + done, text.buffers()[2][ends[0] : ends[-1]]), strict=True):
+                    part.write(data)
+                done += int(ends[-1] - ends[0])
+        drop(s, folder)
         for part in parts:
             part.flush()
         self.keys, self.ends, self.text = (np.asarray(np.memmap(part, kind, "r")) if done else np.zeros(0, kind) for part, kind in zip(parts, ("i8", "i8", "u1"), strict=True))
 
+    @staticmethod
+    def pieces(placed: DataFrame):
+        """Stretches of rows as Arrow tables, one after the other by their places; the next is read while one is worked on."""
+        blocks = placed.groupBy(F.shiftright("at", 14)).agg(F.min("at"), F.max("at"), F.sum(F.octet_length("record"))).collect()
+        spans, held = [], AT_ONCE
+        for _, lo, hi, size in sorted(blocks):
+            held += size
+            if held > AT_ONCE:
+                spans.append((lo, hi))
+                held = size
+            else:
+                spans[-1] = (spans[-1][0], hi)
+        with ThreadPoolExecutor(1) as reader:
+            ready = None
+            for span in [*spans, None]:
+                now, ready = ready, span and reader.submit(placed.where(F.col("at").between(*span)).toArrow)
+                if now:
+                    yield now.result()
+
     #: Stands for a null key.
     NONE = -(2**63)
 
@@ -838,7 +856,7 @@ def record(*columns: str):
 def api(s, d) -> tuple[str, rest.Pages]:
     """The address of a server of events in pages of 500, which lead on by a cursor, the place in the order of ids; its third
     page is under maintenance. And how to page through it, with the number of pages that it has as the bound."""
-    rows = Served(events(s, d), "event_id", record("event_id", "user_id"))
+    rows = Served(s, events(s, d), "event_id", record("event_id", "user_id"))
     n = len(rows.keys)
 
     def answer(path: str, q: dict) -> bytes:
@@ -852,7 +870,7 @@ def api(s, d) -> tuple[str, rest.Pages]:
 
 def users_api(s, d) -> str:
     """The address of a server of users and, below each, of the user's events."""
-    rows = Served(events(s, d), "user_id", record("event_id"))
+    rows = Served(s, events(s, d), "user_id", record("event_id"))
     starts = [0, *(np.flatnonzero(rows.keys[1:] != rows.keys[:-1]) + 1).tolist()] if len(rows.keys) else []
     names = ["null" if k == Served.NONE else str(k) for k in rows.keys[starts]] if starts else []
     spans = dict(zip(names, zip(starts, [*starts[1:], len(rows.keys)], strict=True), strict=True))
@@ -865,9 +883,7 @@ def users_api(s, d) -> str:
 
 
 def read_stream(s, stream: rest.Stream, schema: str) -> DataFrame:
-    name = new_folder(s, "rest").rpartition("/")[2].replace("-", "_")
-    s.dataSource.register(rest.rest_source(stream, None, name))
-    return s.read.format(name).load().select(F.from_json("value", schema).alias("r")).select("r.*")
+    return rest.read_stream(s, stream, schema)
 
 
 @query("SELECT event_id, user_id FROM events")
